@@ -139,46 +139,59 @@ def scd2_close(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
     )
 
 
-def scd2_history(initial: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
-                 seq_col: str, batch: Column) -> DataFrame:
-    """Apply a whole sequence of change batches in one pass.
-
-    Equivalent to calling ``scd2_apply`` once per batch in ``batch`` order:
-    within a batch only the last state counts; a batch opens a version when
-    its state differs from the previous batch's state (which equals the
-    current version, because a state that opened nothing equals it).
+def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
+                       seq_col: str, batch: Column) -> DataFrame:
+    """Apply a sequence of change batches (ordered by ``batch``) in one pass.
+
+    Equivalent to calling ``scd2_apply`` once per batch in order: within a
+    batch only the last state counts; a batch opens a version when its state
+    differs from the previous batch's state, which equals the current
+    version (a state that opened nothing equals it).  Closed history rows
+    pass through untouched; the window per key sees one current row plus at
+    most one state per batch.
     """
     k = spec.key
+    current = dim.filter(F.col("is_current") == "Y")
+    history = dim.filter(F.col("is_current") != "Y")
     states = last_state_per_key(changes.withColumn("_batch", batch), [k, "_batch"],
                                 [ts_col, seq_col], [*spec.type2, ts_col])
-    states = states.select(k, *spec.type2, "_batch",
-                           F.col(ts_col).cast("date").alias("valid_from"),
-                           F.lit(0).alias("_init"))
-    init = initial.filter(F.col("version") == 1).select(
-        k, *spec.type2, F.lit(None).cast(states.schema["_batch"].dataType).alias("_batch"),
-        "valid_from", F.lit(1).alias("_init"))
+    btype = states.schema["_batch"].dataType
+    states = states.select(
+        k, *spec.type2, "_batch", F.col(ts_col).cast("date").alias("valid_from"),
+        F.lit(0).alias("_init"), F.lit(None).cast("int").alias("_v0"),
+        *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in spec.type1])
+    init = current.select(k, *spec.type2, F.lit(None).cast(btype).alias("_batch"), "valid_from",
+                          F.lit(1).alias("_init"), F.col("version").cast("int").alias("_v0"), *spec.type1)
     u = init.unionByName(states)
     w = Window.partitionBy(k).orderBy(F.col("_init").desc(), F.col("_batch"))
-    prev = [F.lag(c).over(w).alias(f"_prev_{c}") for c in spec.type2]
-    u = u.select("*", F.row_number().over(w).alias("_pos"), *prev)
+    u = u.select(
+        k, *spec.type2, "_batch", "valid_from", "_init",
+        F.row_number().over(w).alias("_pos"),
+        F.first("_v0", ignorenulls=True).over(w).alias("_base"),
+        *[F.first(c, ignorenulls=True).over(w).alias(c) for c in spec.type1],
+        *[F.lag(c).over(w).alias(f"_prev_{c}") for c in spec.type2])
     keep = (F.col("_pos") == 1) | _differs(spec.type2, [f"_prev_{c}" for c in spec.type2])
     kept = u.filter(keep).select(
-        k, *spec.type2,
+        k, *spec.type1, *spec.type2, "_init", "_batch", "_base",
         F.when(F.col("_init") == 1, F.col("valid_from"))
          .when(F.col("_pos") == 1, F.lit(K.VALID_FROM_SENTINEL).cast("date"))
-         .otherwise(F.col("valid_from")).alias("valid_from"),
-        "_init", "_batch")
+         .otherwise(F.col("valid_from")).alias("valid_from"))
     w2 = Window.partitionBy(k).orderBy(F.col("_init").desc(), F.col("_batch"))
-    versioned = kept.select(k, *spec.type2, "valid_from",
-                            F.row_number().over(w2).alias("version"),
+    version = (F.coalesce(F.col("_base") - 1, F.lit(0)) + F.row_number().over(w2)).cast("int")
+    versioned = kept.select(k, *spec.type1, *spec.type2, "valid_from", version.alias("version"),
                             F.lead("valid_from").over(w2).alias("valid_to"))
-    t1 = initial.filter(F.col("version") == 1).select(k, *spec.type1)
-    out = versioned.join(t1, k, "left")
-    return out.select(
+    out = versioned.select(
         _sk(spec, F.col("version")).alias("sk"), k, *spec.type1, *spec.type2,
         "version", "valid_from", "valid_to",
-        F.when(F.col("valid_to").isNull(), F.lit("Y")).otherwise(F.lit("N")).alias("is_current"),
-    )
+        F.when(F.col("valid_to").isNull(), F.lit("Y")).otherwise(F.lit("N")).alias("is_current"))
+    cols = spec.columns
+    return history.select(*cols).unionByName(out.select(*cols))
+
+
+def scd2_history(initial: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
+                 seq_col: str, batch: Column) -> DataFrame:
+    """Full history from the initial load and the whole change feed."""
+    return scd2_apply_batches(initial, changes, spec, ts_col, seq_col, batch)
 
 
 def scd1_overwrite(dim: DataFrame, source: DataFrame, key: str, cols: tuple[str, ...],

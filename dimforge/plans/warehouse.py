@@ -92,9 +92,7 @@ class Warehouse:
         return l.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag",
                         price.alias("list_price"), paid.alias("paid"))
 
-    @cached_property
-    def order_stats(self) -> DataFrame:
-        b = self.boardings
+    def order_stats_for(self, b: DataFrame) -> DataFrame:
         flags = flags_per_key(b, "l_orderkey", "l_returnflag",
                               {"cancel": S.CANCEL_FLAG, "delay": S.DELAY_FLAG})
         totals = b.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_boardings"),
@@ -102,10 +100,9 @@ class Warehouse:
                                              F.max("l_shipdate").alias("last_ship"))
         return totals.join(flags, "l_orderkey")
 
-    @cached_property
-    def trips(self) -> DataFrame:
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-        j = o.join(self.order_stats, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    def trips_for(self, orders: DataFrame, boardings: DataFrame) -> DataFrame:
+        o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+        j = o.join(self.order_stats_for(boardings), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         end_ts = F.when(F.col("o_orderstatus") == "F", F.col("last_ship"))
         return j.select(
             "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
@@ -117,6 +114,10 @@ class Warehouse:
             F.coalesce("n_delay", F.lit(0)).alias("n_delay"),
             F.coalesce("n_cancel", F.lit(0)).alias("n_cancel"))
 
+    @cached_property
+    def trips(self) -> DataFrame:
+        return self.trips_for(self.t.orders, self.boardings)
+
     # -- facts --------------------------------------------------------------
     def revenue_fact_for(self, boardings: DataFrame, trips: DataFrame) -> DataFrame:
         j = (boardings.join(trips.select("o_orderkey", "o_custkey", "o_orderdate", "trip_status"),
