@@ -40,7 +40,9 @@ def _c(x) -> Column:
 def normalise_text(x) -> Column:
     """Collapse whitespace runs to one space, trim, strip accents, upper-case."""
     collapsed = F.trim(F.regexp_replace(_c(x), WHITESPACE_RUN, " "))
-    return F.upper(F.translate(collapsed, ACCENTED, PLAIN))
+    # sharp s upper-cases to "SS"; folding it first keeps the key engine-independent
+    folded = F.replace(F.translate(collapsed, ACCENTED, PLAIN), F.lit("ß"), F.lit("ss"))
+    return F.upper(folded)
 
 
 def place_key(name, region) -> Column:

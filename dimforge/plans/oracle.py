@@ -14,8 +14,8 @@ from dimforge.plans import standins as S
 
 
 def _key_sql(name: str, region: str) -> str:
-    return (f"upper(translate(trim(regexp_replace({name}, '{K.WHITESPACE_RUN}', ' ', 'g')), "
-            f"'{K.ACCENTED}', '{K.PLAIN}')) || '/' || upper(trim({region}))")
+    return (f"upper(replace(translate(trim(regexp_replace({name}, '{K.WHITESPACE_RUN}', ' ', 'g')), "
+            f"'{K.ACCENTED}', '{K.PLAIN}'), 'ß', 'ss')) || '/' || upper(trim({region}))")
 
 
 def _band_sql(p: str) -> str:
