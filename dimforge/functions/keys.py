@@ -113,8 +113,16 @@ def trip_status(has_cancel, has_delay, end_ts) -> Column:
 
 
 def rate_per_100k(count, population) -> Column:
-    """round(count * 100000 / population, 2) as exact decimal, NULL when the
-    population is NULL or zero.  Multiplying before dividing keeps scale."""
-    num = _c(count).cast("decimal(38,2)") * F.lit(100000)
-    den = F.nullif(_c(population), F.lit(0)).cast("decimal(38,0)")
-    return F.round(num / den, 2).cast("decimal(18,2)")
+    """round(count * 100000 / population, 2), half up on the *exact* quotient,
+    NULL when the population is NULL or zero (measures are non-negative).
+
+    Computed in integers: with c = count in cents, the rate in cents is
+    floor((2 * c * 100000 + p) / (2 * p)); the floor is taken exactly with
+    ``pmod``, so no intermediate decimal or double rounding can flip a half.
+    """
+    p = F.nullif(_c(population), F.lit(0)).cast("decimal(38,0)")
+    cents = (_c(count).cast("decimal(38,2)") * F.lit(100)).cast("decimal(38,0)")
+    num = cents * F.lit(200000) + p
+    den = p * F.lit(2)
+    q = ((num - F.pmod(num, den)) / den).cast("decimal(38,0)")
+    return (q / F.lit(100)).cast("decimal(18,2)")

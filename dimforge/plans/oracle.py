@@ -24,8 +24,9 @@ def _band_sql(p: str) -> str:
 
 
 def _rate_sql(x: str, p: str) -> str:
-    return (f"CAST(round(CAST({x} AS DECIMAL(38,2)) * 100000 / CAST(nullif({p}, 0) AS DECIMAL(38,0)), 2) "
-            f"AS DECIMAL(18,2))")
+    cents = f"CAST(round(CAST({x} AS DECIMAL(38,2)) * 100, 0) AS HUGEINT)"
+    return (f"CASE WHEN nullif({p}, 0) IS NOT NULL THEN CAST(CAST((2 * {cents} * 100000 + {p}) // (2 * {p}) "
+            f"AS DECIMAL(38,0)) * 0.01 AS DECIMAL(18,2)) END")
 
 
 def _sk(ns: str, *cols: str) -> str:
