@@ -94,7 +94,9 @@ def month_text(d) -> Column:
 
 
 def calendar_key(d) -> Column:
-    return surrogate_key("calendar", _c(d).cast("date"))
+    """Integer yyyymmdd of the date (readable, ordered, no hashing)."""
+    x = _c(d).cast("date")
+    return (F.year(x) * 10000 + F.month(x) * 100 + F.dayofmonth(x)).cast("int")
 
 
 def minutes_between(start, end) -> Column:

@@ -252,3 +252,15 @@ def _any_not_null(cols: list[str]) -> Column:
         x = F.col(c).isNotNull()
         cond = x if cond is None else (cond | x)
     return cond
+
+
+def split_late_changes(dim: DataFrame, changes: DataFrame, spec: Scd2Spec,
+                       ts_col: str) -> tuple[DataFrame, DataFrame]:
+    """Separate changes dated before the start of their member's current
+    version: applying them would open a version that overlaps history.
+    Returns ``(on_time, late)``; ``late`` carries ``current_from`` and goes
+    to quarantine (same-day changes are on time)."""
+    cur = dim.filter(F.col("is_current") == "Y").select(spec.key, F.col("valid_from").alias("current_from"))
+    j = changes.join(cur, spec.key, "left")
+    late = F.coalesce(F.col(ts_col).cast("date") < F.col("current_from"), F.lit(False))
+    return j.filter(~late).drop("current_from"), j.filter(late)

@@ -30,6 +30,14 @@ def _rate_sql(x: str, p: str) -> str:
 
 
 def _sk(ns: str, *cols: str) -> str:
+    """Key of a dimension row: md5 surrogate for the type-2 member, yyyymmdd
+    for the calendar, the natural id for type-1 dimensions."""
+    if ns == "calendar":
+        (d,) = cols
+        return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
+    if ns not in ("member", "document"):
+        (c,) = cols
+        return c
     inner = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
     return f"md5('{ns}|' || {inner})"
 
@@ -249,7 +257,7 @@ def _expense_fact_body(events: str, orders: str) -> str:
 SELECT e.event_id AS source_id, 'Member payment' AS expense_type, 'Payment - ' || m.member_name AS description,
        CAST({_money('e.value')} + {tax} AS DECIMAL(18,2)) AS amount, {_money('e.value')} AS net_amount,
        {tax} AS tax_amount, {_sk('calendar', 'CAST(e.ts AS DATE)')} AS calendar_key,
-       m.sk AS member_key, CAST(NULL AS VARCHAR) AS customer_key
+       m.sk AS member_key, CAST(NULL AS BIGINT) AS customer_key
 FROM {events} e JOIN member_dim m ON {VALID.format(k='e.user_id', d='e.ts')}
 WHERE e.event_type = 'purchase'
 UNION ALL

@@ -357,3 +357,58 @@ WHERE m.segment = '{S.CLOSED_SEGMENT}'""", "trips", "member_dim"),
 SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""",
 }
 
+
+
+O.frag("member_dim_cut", ("member_init",), O._history_body(
+    f"(SELECT * FROM member_changes WHERE change_ts < {EC})", "CAST(change_ts AS DATE)"))
+O.frag("member_changes_all", (), O.F["member_changes"][1])
+
+_PK = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
+       "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
+       "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+       "labels": ["doc_id"], "benchmark": ["item_id"], "pages": ["page_id"],
+       "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"]}
+_pk_pairs = []
+for _t, _k in _PK.items():
+    _cols = ", ".join(_k)
+    _pk_pairs.append((f"{_t}.duplicate_keys", f"SELECT {_cols} FROM {_t} GROUP BY {_cols} HAVING count(*) > 1"))
+    _pk_pairs.append((f"{_t}.null_keys", f"SELECT * FROM {_t} WHERE " + " OR ".join(f"{c} IS NULL" for c in _k)))
+_pk_pairs.append(("member_dim.duplicate_keys",
+                  "SELECT member_id FROM member_dim GROUP BY member_id, version HAVING count(*) > 1"))
+_pk_pairs.append(("calendar.duplicate_keys",
+                  "SELECT calendar_key FROM calendar GROUP BY calendar_key HAVING count(*) > 1"))
+
+_LANG = "CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' " \
+        "WHEN 'es' THEN 'Spanish' WHEN 'pt' THEN 'Portuguese' ELSE 'Other' END"
+
+SQL.update({
+    "bronze_stream": sql("SELECT * FROM bronze", "bronze"),
+
+    "dim_subtype_left": f"""
+SELECT {O._sk('document', 'd.doc_id', '1')} AS sk, d.doc_id, d.source, {_LANG} AS language, l.quality, l.toxic,
+       1 AS version, {O.SENT} AS valid_from, CAST(NULL AS DATE) AS valid_to, 'Y' AS is_current
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+
+    "mart_rollup": sql("""
+SELECT c.year, c.quarter, c.month, count(*) AS boardings, CAST(sum(f.paid) AS DECIMAL(38,2)) AS revenue,
+       CAST(grouping(c.year, c.quarter, c.month) AS INTEGER) AS grouping_level
+FROM revenue_fact f JOIN calendar c ON c.calendar_key = f.calendar_key
+GROUP BY ROLLUP (c.year, c.quarter, c.month)""", "revenue_fact", "calendar"),
+
+    "listing_desc": sql("SELECT * FROM penetration ORDER BY suggestions_per_100k DESC NULLS LAST, place_name, region",
+                        "penetration"),
+
+    "first_value_lookup": sql("""
+SELECT a.code, a.place_name, b.population AS population_before, a.population AS population_after,
+       b.population IS DISTINCT FROM a.population AS changed
+FROM silver a LEFT JOIN silver_v1 b ON b.code = a.code
+ORDER BY a.code LIMIT 1""", "silver", "silver_v1"),
+
+    "dq_pk_summary": sql(_counts(_pk_pairs), "member_dim", "calendar"),
+
+    "late_change_quarantine": sql(f"""
+SELECT c.member_id, c.change_ts, c.seq, m.valid_from AS current_from
+FROM member_changes c JOIN member_dim_cut m ON m.member_id = c.member_id AND m.is_current = 'Y'
+WHERE c.change_ts >= {EC} - INTERVAL 3 DAY AND CAST(c.change_ts AS DATE) < m.valid_from""",
+                                  "member_changes", "member_dim_cut"),
+})

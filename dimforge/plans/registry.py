@@ -18,14 +18,14 @@ from dimforge.operators import incremental as inc
 from dimforge.operators import quality as Q
 from dimforge.operators.dedup import last_state_per_key, latest_per_key
 from dimforge.operators.joins import validity_join
-from dimforge.operators.scd import (scd1_overwrite, scd1_refresh_external, scd2_apply,
-                                    scd2_close)
+from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_external, scd2_apply,
+                                    scd2_close, scd2_history, scd2_initial, split_late_changes)
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
 from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, run_lake,
                                  suggestion_penetration)
 from dimforge.plans.queries_sql import SQL
-from dimforge.plans.warehouse import Warehouse, sk
+from dimforge.plans.warehouse import Warehouse
 from dimforge.session import work_dir
 from dimforge.sources import ingest
 
@@ -642,3 +642,109 @@ def dq_has_child(spark, sf_dir):
     t = Warehouse(spark, sf_dir).t
     return t.customer.select("c_custkey").join(
         t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+
+
+# ============================================================================ round-1 additions
+@register("bronze_stream")
+def bronze_stream(spark, sf_dir):
+    """S3 streaming twin: a checkpointed file stream (availableNow) appends
+    only newly landed folders; v1 landed twice is ingested once."""
+    from dimforge.plans.lake import land
+    from dimforge.streaming.bronze import ingest_landing_once
+    w = Warehouse(spark, sf_dir)
+    root = work_dir(spark, "bronze-stream")
+    bronze, ckpt = f"{root}/bronze", f"{root}/checkpoint"
+    v1 = S.population_v1(w.t)
+    cols = v1.columns
+    land(v1, f"{root}/landing/population_v1")
+    ingest_landing_once(spark, f"{root}/landing/*/", cols, bronze, ckpt, S.ts(S.LOAD_V1_AT))
+    ingest_landing_once(spark, f"{root}/landing/*/", cols, bronze, ckpt, S.ts(S.LOAD_V1_AT))  # nothing new
+    land(S.population_v2(w.t), f"{root}/landing/population_v2")
+    ingest_landing_once(spark, f"{root}/landing/*/", cols, bronze, ckpt, S.ts(S.LOAD_V2_AT))
+    return spark.read.parquet(bronze)
+
+
+DOCUMENT = Scd2Spec(namespace="document", key="doc_id",
+                    type1=("source", "language", "quality", "toxic"), type2=())
+# Language codes and their labels.
+LANGUAGES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish", "pt": "Portuguese"}
+
+
+@register("dim_subtype_left")
+def dim_subtype_left(spark, sf_dir):
+    """Initial type-2 load of a document dimension, decoding the
+    language and taking optional attributes from the 1:1 ``labels``
+    subtype with a left join (documents without labels keep NULLs)."""
+    t = Warehouse(spark, sf_dir).t
+    src = (t.documents.select("doc_id", "source", "lang")
+           .join(t.labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
+           .select("doc_id", "source", K.decode("lang", LANGUAGES, "Other").alias("language"),
+                   "quality", "toxic"))
+    return scd2_initial(src, DOCUMENT)
+
+
+@register("mart_rollup")
+def mart_rollup(spark, sf_dir):
+    """Revenue rolled up year > quarter > month, with subtotals."""
+    w = Warehouse(spark, sf_dir)
+    f = w.revenue_fact.join(w.calendar.select("calendar_key", "year", "quarter", "month"), "calendar_key")
+    return (f.rollup("year", "quarter", "month")
+            .agg(F.count(F.lit(1)).alias("boardings"), F.sum("paid").cast("decimal(38,2)").alias("revenue"),
+                 F.grouping_id().cast("int").alias("grouping_level")))
+
+
+@register("listing_desc")
+def listing_desc(spark, sf_dir):
+    """O2: places by suggestions per 100k, highest first (presentation sort)."""
+    w = Warehouse(spark, sf_dir)
+    p = w.penetration(_address_dim(spark, w))
+    return p.orderBy(F.col("suggestions_per_100k").desc_nulls_last(), "place_name", "region")
+
+
+@register("first_value_lookup")
+def first_value_lookup(spark, sf_dir):
+    """O3/Q15: single-row lookup — the first place by code, its population
+    before and after the republication (a top-1, not a collect)."""
+    w = Warehouse(spark, sf_dir)
+    lake = run_lake(spark, w.t)
+    before = lake.silver_v1.select("code", F.col("population").alias("population_before"))
+    after = lake.silver.select("code", "place_name", F.col("population").alias("population_after"))
+    j = after.join(before, "code", "left")
+    return j.orderBy("code").limit(1).select(
+        "code", "place_name", "population_before", "population_after",
+        (~F.col("population_before").eqNullSafe(F.col("population_after"))).alias("changed"))
+
+
+@register("dq_pk_summary")
+def dq_pk_summary(spark, sf_dir):
+    """Q16 on every table: duplicate and NULL primary keys."""
+    w = Warehouse(spark, sf_dir)
+    t = w.t
+    pks = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
+           "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
+           "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+           "labels": ["doc_id"], "benchmark": ["item_id"], "pages": ["page_id"],
+           "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"]}
+    named = {}
+    for name, keys in pks.items():
+        df = getattr(t, name).select(*keys)
+        named[f"{name}.duplicate_keys"] = Q.duplicate_keys(df, keys)
+        named[f"{name}.null_keys"] = Q.null_keys(df, keys)
+    named["member_dim.duplicate_keys"] = Q.duplicate_keys(w.member_dim, ["member_id", "version"])
+    named["calendar.duplicate_keys"] = Q.duplicate_keys(w.calendar, ["calendar_key"])
+    return Q.counts(named)
+
+
+@register("late_change_quarantine")
+def late_change_quarantine(spark, sf_dir):
+    """The dimension was loaded up to the cut; the feed then re-delivers
+    the three days before it.  Changes dated before their member's current
+    version start go to quarantine instead of corrupting history."""
+    w = Warehouse(spark, sf_dir)
+    cut = S.ts(S.EVENTS_CUT)
+    ch = S.member_changes(w.t)
+    dim = scd2_history(w.member_initial, ch.filter(F.col("change_ts") < cut), S.MEMBER,
+                       "change_ts", "seq", F.to_date("change_ts"))
+    redelivered = ch.filter(F.col("change_ts") >= cut - F.expr("INTERVAL 3 DAYS"))
+    _, late = split_late_changes(dim, redelivered, S.MEMBER, "change_ts")
+    return late.select("member_id", "change_ts", "seq", "current_from")

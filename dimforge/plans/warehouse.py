@@ -2,9 +2,11 @@
 fact shapes and the analytic marts (D1-D12, F1-F10, V1-V8).
 
 Plan choices that matter at scale
-* Surrogate keys are deterministic (md5 of namespace and natural key), so
-  facts compute calendar / customer / supplier / address / place keys
-  inline instead of joining to fetch them; only the type-2 member needs a
+* Keys are deterministic: type-1 dimensions keep their stable natural id,
+  the calendar uses yyyymmdd, and only the type-2 member has a surrogate
+  (md5 of namespace, id and version, computed once per dimension row).
+  Facts therefore compute calendar / customer / supplier / address / place
+  keys inline, with no hashing and no join; only the member needs a
   (validity) join, because its key depends on the date.
 * Per-order notice flags, boarding counts and revenue come from ONE hash
   aggregate of lineitem by order key; its output is already hash
@@ -28,10 +30,6 @@ from dimforge.plans import standins as S
 from dimforge.sources.tables import Tables
 
 
-def sk(ns: str, col) -> F.Column:
-    return K.surrogate_key(ns, F.col(col) if isinstance(col, str) else col)
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -50,7 +48,7 @@ class Warehouse:
 
     @cached_property
     def customer_dim(self) -> DataFrame:
-        return self.t.customer.select(sk("customer", "c_custkey").alias("customer_key"),
+        return self.t.customer.select(F.col("c_custkey").alias("customer_key"),
                                       F.col("c_custkey").alias("customer_id"),
                                       F.col("c_name").alias("customer_name"),
                                       F.col("c_mktsegment").alias("segment"),
@@ -58,7 +56,7 @@ class Warehouse:
 
     @cached_property
     def supplier_dim(self) -> DataFrame:
-        return self.t.supplier.select(sk("supplier", "s_suppkey").alias("supplier_key"),
+        return self.t.supplier.select(F.col("s_suppkey").alias("supplier_key"),
                                       F.col("s_suppkey").alias("supplier_id"),
                                       F.col("s_name").alias("supplier_name"),
                                       F.col("s_nationkey").alias("place_id"),
@@ -66,7 +64,7 @@ class Warehouse:
 
     @cached_property
     def place_dim(self) -> DataFrame:
-        return S.places(self.t).select(sk("place", "place_id").alias("place_key"), "place_id",
+        return S.places(self.t).select(F.col("place_id").alias("place_key"), "place_id",
                                        "place_name", "region")
 
     # -- calendar -----------------------------------------------------------
@@ -136,12 +134,12 @@ class Warehouse:
             (F.col("list_price") - F.col("paid")).cast("decimal(18,2)").alias("discount"),
             "trip_status",
             K.calendar_key(F.col("l_shipdate")).alias("calendar_key"),
-            sk("customer", "o_custkey").alias("customer_key"),
+            F.col("o_custkey").alias("customer_key"),
             F.col("v_sk").alias("member_key"),
-            sk("supplier", "l_suppkey").alias("supplier_key"),
-            sk("address", "o_custkey").alias("origin_address_key"),
-            sk("place", "c_nationkey").alias("origin_place_key"),
-            sk("place", "s_nationkey").alias("destination_place_key"))
+            F.col("l_suppkey").alias("supplier_key"),
+            F.col("o_custkey").alias("origin_address_key"),
+            F.col("c_nationkey").alias("origin_place_key"),
+            F.col("s_nationkey").alias("destination_place_key"))
 
     @cached_property
     def revenue_fact(self) -> DataFrame:
@@ -158,7 +156,7 @@ class Warehouse:
             K.calendar_key(F.col("o_orderdate")).alias("start_calendar_key"),
             F.when(F.col("end_ts").isNotNull(), K.calendar_key(F.col("end_ts"))).alias("end_calendar_key"),
             F.col("v_sk").alias("member_key"),
-            sk("address", "o_custkey").alias("origin_address_key"))
+            F.col("o_custkey").alias("origin_address_key"))
 
     @cached_property
     def trip_fact(self) -> DataFrame:
@@ -175,14 +173,14 @@ class Warehouse:
             F.concat(F.lit("Payment - "), F.col("v_member_name")).alias("description"),
             (net + tax).cast("decimal(18,2)").alias("amount"), net.alias("net_amount"), tax.alias("tax_amount"),
             K.calendar_key(F.col("ts")).alias("calendar_key"),
-            F.col("v_sk").alias("member_key"), F.lit(None).cast("string").alias("customer_key"))
+            F.col("v_sk").alias("member_key"), F.lit(None).cast("bigint").alias("customer_key"))
         fulfil = orders.select(
             F.col("o_orderkey").alias("source_id"), F.lit("Order fulfilment").alias("expense_type"),
             F.concat(F.lit("Order priority "), F.col("o_orderpriority")).alias("description"),
             K.money("o_totalprice").alias("amount"), K.money("o_totalprice").alias("net_amount"),
             F.lit(0).cast("decimal(18,2)").alias("tax_amount"),
             K.calendar_key(F.col("o_orderdate")).alias("calendar_key"),
-            F.lit(None).cast("string").alias("member_key"), sk("customer", "o_custkey").alias("customer_key"))
+            F.lit(None).cast("string").alias("member_key"), F.col("o_custkey").alias("customer_key"))
         return payments.unionByName(fulfil)
 
     @cached_property
@@ -198,8 +196,8 @@ class Warehouse:
             planned.alias("planned_ts"),
             K.calendar_key(planned).alias("planned_calendar_key"),
             K.calendar_key(F.col("ts")).alias("registered_calendar_key"),
-            sk("customer", "user_id").alias("customer_key"),
-            sk("address", "user_id").alias("address_key"))
+            F.col("user_id").alias("customer_key"),
+            F.col("user_id").alias("address_key"))
 
     @cached_property
     def suggestion_fact(self) -> DataFrame:
