@@ -148,3 +148,18 @@ def test_daily_batches_equal_history_and_model(spark, feed):
     first = scd2_apply_batches(init, ch.filter(F.col("ts") < cut), SPEC, "ts", "seq", F.to_date("ts"))
     second = scd2_apply_batches(first, ch.filter(F.col("ts") >= cut), SPEC, "ts", "seq", F.to_date("ts"))
     assert rows(second) == one_pass
+
+
+def test_late_changes_are_quarantined(spark):
+    ch = spark.createDataFrame([(2, t("2025-07-08 10:00:00"), 1, "Driver", Decimal("4560.00"))], CH_SCHEMA)
+    dim = scd2_apply(initial(spark), ch, SPEC, "ts", "seq")          # id 2 current since 2025-07-08
+    from dimforge.operators.scd import split_late_changes
+    feed = spark.createDataFrame([
+        (2, t("2025-07-07 09:00:00"), 5, "Office", Decimal("1.00")),   # before current start -> late
+        (2, t("2025-07-08 18:00:00"), 6, "Office", Decimal("1.00")),   # same day -> on time
+        (3, t("2025-01-01 00:00:00"), 7, "Office", Decimal("1.00")),   # v1 open since 1900 -> on time
+        (9, t("2025-01-01 00:00:00"), 8, "Office", Decimal("1.00")),   # unknown member -> on time
+    ], CH_SCHEMA)
+    ok, late = split_late_changes(dim, feed, SPEC, "ts")
+    assert [r.seq for r in late.collect()] == [5]
+    assert sorted(r.seq for r in ok.collect()) == [6, 7, 8]
