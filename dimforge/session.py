@@ -19,10 +19,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # size partitions by bytes (not by max parallelism): set
-    # spark.sql.shuffle.partitions high on a cluster and let AQE coalesce
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
