@@ -155,6 +155,14 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
     history = dim.filter(F.col("is_current") != "Y")
     states = last_state_per_key(changes.withColumn("_batch", batch), [k, "_batch"],
                                 [ts_col, seq_col], [*spec.type2, ts_col])
+    # Only members with changes go through the per-key window; the rest of
+    # the current rows pass through.  One join against the batch's keys
+    # (broadcast by AQE when the batch is small, so the dimension is not
+    # shuffled) marks them.
+    touched_keys = states.select(k).distinct().withColumn("_touched", F.lit(True))
+    marked = current.join(touched_keys, k, "left")
+    untouched = marked.filter(F.col("_touched").isNull()).drop("_touched")
+    current = marked.filter(F.col("_touched")).drop("_touched")
     btype = states.schema["_batch"].dataType
     states = states.select(
         k, *spec.type2, "_batch", F.col(ts_col).cast("date").alias("valid_from"),
@@ -185,7 +193,7 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
         "version", "valid_from", "valid_to",
         F.when(F.col("valid_to").isNull(), F.lit("Y")).otherwise(F.lit("N")).alias("is_current"))
     cols = spec.columns
-    return history.select(*cols).unionByName(out.select(*cols))
+    return history.select(*cols).unionByName(untouched.select(*cols)).unionByName(out.select(*cols))
 
 
 def scd2_history(initial: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
