@@ -412,3 +412,20 @@ FROM member_changes c JOIN member_dim_cut m ON m.member_id = c.member_id AND m.i
 WHERE c.change_ts >= {EC} - INTERVAL 3 DAY AND CAST(c.change_ts AS DATE) < m.valid_from""",
                                   "member_changes", "member_dim_cut"),
 })
+
+
+_TABLE_FRAGS = {"calendar": "calendar", "member_dim": "member_dim", "customer_dim": "customer_dim",
+                "supplier_dim": "supplier_dim", "place_dim": "place_dim", "expense_fact": "expense_fact",
+                "revenue_fact": "revenue_fact", "trip_fact": "trip_fact", "suggestion_fact": "suggestion_fact"}
+_full = [(f"{n}.v1", f"SELECT * FROM {f}") for n, f in _TABLE_FRAGS.items() if n in
+         ("calendar", "member_dim", "customer_dim", "supplier_dim", "place_dim")]
+_full.append(("address_dim.v1", "SELECT * FROM address_dim"))
+_full += [(f"{n}.v1", f"SELECT * FROM {f}") for n, f in _TABLE_FRAGS.items() if n.endswith("_fact")]
+_inc = []
+for _n, _f in _TABLE_FRAGS.items():
+    _inc += [(f"{_n}.rows", f"SELECT * FROM {_f}"), (f"{_n}.extra", f"SELECT * FROM {_f} WHERE false"),
+             (f"{_n}.missing", f"SELECT * FROM {_f} WHERE false")]
+SQL.update({
+    "full_load_publish": sql(_counts(_full), *_TABLE_FRAGS.values(), "address_dim"),
+    "incremental_equals_full": sql(_counts(_inc), *_TABLE_FRAGS.values()),
+})

@@ -748,3 +748,33 @@ def late_change_quarantine(spark, sf_dir):
     redelivered = ch.filter(F.col("change_ts") >= cut - F.expr("INTERVAL 3 DAYS"))
     _, late = split_late_changes(dim, redelivered, S.MEMBER, "change_ts")
     return late.select("member_id", "change_ts", "seq", "current_from")
+
+
+@register("full_load_publish")
+def full_load_publish(spark, sf_dir):
+    """Section 3.1 order: dimensions, then facts reading the *published*
+    dimensions; returns each table's committed version and row count."""
+    from dimforge import publish as P
+    from dimforge.plans import load as L
+    w = Warehouse(spark, sf_dir)
+    root = work_dir(spark, "warehouse")
+    versions = L.full_load(spark, w, _address_dim(spark, w), root)
+    return Q.counts({f"{n}.v{v}": P.read_current(spark, root, n) for n, v in versions.items()})
+
+
+@register("incremental_equals_full")
+def incremental_equals_full(spark, sf_dir):
+    """Section 3.2: publish the warehouse as of the cut, run the incremental
+    load on the changes since, and compare every table with a full rebuild
+    (extra / missing must be 0)."""
+    from dimforge import publish as P
+    from dimforge.plans import load as L
+    root = work_dir(spark, "warehouse")
+    w_cut = L.state_at_cut(spark, sf_dir)
+    L.full_load(spark, w_cut, _address_dim(spark, w_cut), root)
+    L.incremental(spark, sf_dir, root)
+    fresh = Warehouse(spark, sf_dir)
+    named = {}
+    for n in L.DIMS + L.FACTS:
+        named.update(L.compare(n, P.read_current(spark, root, n), getattr(fresh, n)))
+    return Q.counts(named)

@@ -31,9 +31,16 @@ from dimforge.sources.tables import Tables
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, filters: dict | None = None):
         self.spark = spark
-        self.t = Tables(spark, sf_dir)
+        self.t = Tables(spark, sf_dir, filters)
+
+    def use(self, **published: DataFrame) -> "Warehouse":
+        """Replace computed tables (e.g. ``member_dim``, ``calendar``) with
+        published versions, so downstream facts read them instead of
+        recomputing — and lineage is cut at the published table."""
+        self.__dict__.update(published)
+        return self
 
     # -- dimensions ---------------------------------------------------------
     @cached_property

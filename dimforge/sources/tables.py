@@ -26,14 +26,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 class Tables:
     """Lazy accessor: ``t.orders`` reads ``orders.parquet`` on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, filters: dict | None = None):
+        """``filters``: table -> predicate Column, e.g. the state of the
+        sources as of a cut date (pushed down into the parquet scan)."""
         self.spark = spark
         self.sf_dir = sf_dir
+        self._filters = filters or {}
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            df = read_table(self.spark, self.sf_dir, name)
+            if name in self._filters:
+                df = df.filter(self._filters[name])
+            self._cache[name] = df
         return self._cache[name]
