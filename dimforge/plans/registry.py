@@ -22,7 +22,7 @@ from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_exter
                                     scd2_close, scd2_history, scd2_initial, split_late_changes)
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
-from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, run_lake,
+from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, run_lake,
                                  suggestion_penetration)
 from dimforge.plans.queries_sql import SQL
 from dimforge.plans.warehouse import Warehouse
@@ -44,8 +44,9 @@ def register(name: str, oracle: bool = True):
 
 
 def _address_dim(spark: SparkSession, w: Warehouse) -> DataFrame:
-    lake = run_lake(spark, w.t)
-    return build_address_dim(S.addresses(w.t), lake.silver)
+    """Gold address dimension on the curated population, built inside the
+    query's plan (``curated_lake``; the file path is ``run_lake``)."""
+    return build_address_dim(S.addresses(w.t), curated_lake(w.t).silver)
 
 
 # ============================================================================ flagship
@@ -69,7 +70,7 @@ def place_key(spark, sf_dir):
 @register("size_band")
 def size_band(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    s = run_lake(spark, w.t).silver
+    s = curated_lake(w.t).silver
     return s.select("code", "place_name", "region", "population", K.size_band("population").alias("size_band"))
 
 
@@ -131,7 +132,7 @@ def dataset_catalogue(spark, sf_dir):
 def gold_dim_refresh(spark, sf_dir):
     """Place population before and after the republication."""
     w = Warehouse(spark, sf_dir)
-    lake = run_lake(spark, w.t)
+    lake = curated_lake(w.t)
     addr = S.addresses(w.t)
     before = build_address_dim(addr, lake.silver_v1).groupBy("place_name", "region").agg(
         F.max("population").alias("population_before"))
@@ -146,7 +147,7 @@ def scd1_external(spark, sf_dir):
     """Refresh external attributes on every address of a place,
     rewriting only rows whose values differ."""
     w = Warehouse(spark, sf_dir)
-    lake = run_lake(spark, w.t)
+    lake = curated_lake(w.t)
     dim_v1 = build_address_dim(S.addresses(w.t), lake.silver_v1)
     return scd1_refresh_external(
         dim_v1, lake.silver, K.place_key(F.col("place_name"), F.col("region")), "place_key",
@@ -167,7 +168,7 @@ def gold_penetration(spark, sf_dir):
 def key_consistency(spark, sf_dir):
     """Stored key vs key recomputed from the cleaned columns."""
     w = Warehouse(spark, sf_dir)
-    s = run_lake(spark, w.t).silver
+    s = curated_lake(w.t).silver
     re = K.place_key(F.col("place_name"), F.col("region"))
     return s.filter(~F.col("place_key").eqNullSafe(re)).select("code", "place_name", "place_key",
                                                                  re.alias("recomputed_key"))
@@ -178,10 +179,11 @@ def typed_refresh(spark, sf_dir):
     """Export silver, re-import it with an explicit schema
     (FAILFAST), full refresh of the curated table."""
     w = Warehouse(spark, sf_dir)
-    lake = run_lake(spark, w.t)
-    export = f"{lake.root}/export/silver_csv"
+    lake = curated_lake(w.t)
+    root = work_dir(spark, "typed-refresh")
+    export = f"{root}/export/silver_csv"
     ingest.export_sorted_csv(lake.silver, export, ["code"])
-    curated = f"{lake.root}/curated/population"
+    curated = f"{root}/curated/population"
     ingest.overwrite(ingest.read_typed_csv(spark, export, SILVER_SCHEMA), curated)
     return spark.read.parquet(curated)
 
@@ -191,8 +193,9 @@ def sorted_export(spark, sf_dir):
     """Globally sorted CSV export (range-partitioned sort, no single
     task), read back with its schema."""
     w = Warehouse(spark, sf_dir)
-    lake = run_lake(spark, w.t)
-    export = f"{lake.root}/export/sorted"
+    lake = curated_lake(w.t)
+    root = work_dir(spark, "sorted-export")
+    export = f"{root}/export/sorted"
     ingest.export_sorted_csv(lake.silver.select("code", "place_name", "population"), export, ["code"])
     return ingest.read_typed_csv(spark, export, "code string, place_name string, population int")
 
