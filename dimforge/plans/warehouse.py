@@ -127,14 +127,23 @@ class Warehouse:
     def trips(self) -> DataFrame:
         return self.trips_for(self.t.orders, self.boardings)
 
-    # -- facts --------------------------------------------------------------
+    # -- facts ----------------------------------------------------------------
+    def trip_versions(self, trips: DataFrame) -> DataFrame:
+        """Order-grain attributes shared by the trip and revenue facts: the
+        member version in force on the order date and the customer's place.
+        Both joins are keyed on the customer, so they run on orders (a
+        quarter of the boardings) and share one partitioning by customer."""
+        j = trips.join(self.t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        return validity_join(j, self.member_dim.select("member_id", "sk", "valid_from", "valid_to"),
+                             "o_custkey", F.col("o_orderdate").cast("date"), "member_id")
+
     def revenue_fact_for(self, boardings: DataFrame, trips: DataFrame) -> DataFrame:
-        j = (boardings.join(trips.select("o_orderkey", "o_custkey", "o_orderdate", "trip_status"),
+        """Boardings meet the enriched orders once (by order key) and the
+        supplier once (by supplier key): two shuffles at boarding grain."""
+        o = self.trip_versions(trips.select("o_orderkey", "o_custkey", "o_orderdate", "trip_status"))
+        j = (boardings.join(o.select("o_orderkey", "o_custkey", "trip_status", "c_nationkey", "v_sk"),
                             F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(self.t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
              .join(self.t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
-        j = validity_join(j, self.member_dim.select("member_id", "sk", "valid_from", "valid_to"),
-                          "o_custkey", F.col("o_orderdate").cast("date"), "member_id")
         return j.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
             F.col("l_shipdate").alias("paid_at"), "paid", "list_price",
