@@ -192,6 +192,30 @@ FROM member_dim GROUP BY member_id""", "member_dim"),
 
     "status_rule": sql("SELECT trip_status, count(*) AS n_trips FROM trips GROUP BY trip_status", "trips"),
 
+    "coalesce_nullif_rates": sql(f"""
+SELECT place_id, place_name, region, n_customers, n_orders, order_value, first_order_date, population,
+       {O._rate_sql('n_orders', 'population')} AS orders_per_100k,
+       {O._rate_sql('order_value', 'population')} AS order_value_per_100k
+FROM (
+  SELECT p.place_id, p.place_name, p.region,
+         CAST(coalesce(c.n_customers, 0) AS BIGINT) AS n_customers,
+         CAST(coalesce(o.n_orders, 0) AS BIGINT) AS n_orders,
+         CAST(coalesce(o.order_value, 0) AS DECIMAL(38,2)) AS order_value,
+         coalesce(o.first_order, DATE '{K.VALID_TO_OPEN}') AS first_order_date,
+         CAST(coalesce(s.n_suppliers, 0) * {S.PEOPLE_PER_CUSTOMER} AS BIGINT) AS population
+  FROM places p
+  LEFT JOIN (SELECT c_nationkey AS place_id, count(*) AS n_customers FROM customer GROUP BY c_nationkey) c
+         ON c.place_id = p.place_id
+  LEFT JOIN (SELECT cu.c_nationkey AS place_id, sum(x.n) AS n_orders, sum(x.v) AS order_value,
+                    min(x.f) AS first_order
+             FROM (SELECT o_custkey, count(*) AS n, sum({O._money('o_totalprice')}) AS v,
+                          min(CAST(o_orderdate AS DATE)) AS f
+                   FROM orders GROUP BY o_custkey) x
+             JOIN customer cu ON x.o_custkey = cu.c_custkey
+             GROUP BY cu.c_nationkey) o ON o.place_id = p.place_id
+  LEFT JOIN (SELECT s_nationkey AS place_id, count(*) AS n_suppliers FROM supplier GROUP BY s_nationkey) s
+         ON s.place_id = p.place_id) q""", "places"),
+
     "fact_expense_delta": sql(f"""
 SELECT * FROM expense_fact_new n
 WHERE NOT EXISTS (SELECT 1 FROM expense_fact_old s WHERE s.source_id = n.source_id

@@ -334,6 +334,13 @@ def status_rule(spark, sf_dir):
     return t.groupBy("trip_status").agg(F.count(F.lit(1)).alias("n_trips"))
 
 
+
+@register("coalesce_nullif_rates")
+def coalesce_nullif_rates(spark, sf_dir):
+    """Per place, coalesce defaults and rates per 100k with a
+    zero-population guard."""
+    return Warehouse(spark, sf_dir).place_rates()
+
 def _split(w: Warehouse):
     e_old = w.t.events.filter(F.col("ts") < S.ts(S.EVENTS_CUT))
     e_new = w.t.events.filter(F.col("ts") >= S.ts(S.EVENTS_CUT))

@@ -248,6 +248,37 @@ class Warehouse:
             K.rate_per_100k(boardings, F.col("population")).alias("boardings_per_100k"),
             K.rate_per_100k(suggestions, F.col("population")).alias("suggestions_per_100k"))
 
+    def place_rates(self) -> DataFrame:
+        """Every place (left joins) with customers, orders, order value, first
+        order day and a supplier-based population; missing measures default
+        by ``coalesce`` (0, 0.00, the far-future day) and the rates per 100k
+        are NULL where the population is 0 (``nullif`` guard).  Orders are
+        first reduced per customer (map-side combine, safe for a hot
+        customer), so only one row per customer meets the customer table."""
+        c = self.t.customer
+        n_cust = c.groupBy(F.col("c_nationkey").alias("place_id")).agg(F.count(F.lit(1)).alias("n_customers"))
+        per_cust = self.t.orders.groupBy("o_custkey").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(K.money("o_totalprice")).alias("v"),
+            F.min(F.to_date("o_orderdate")).alias("f"))
+        ords = (per_cust.join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+                .groupBy(F.col("c_nationkey").alias("place_id"))
+                .agg(F.sum("n").alias("n_orders"), F.sum("v").alias("order_value"), F.min("f").alias("first_order")))
+        n_sup = self.t.supplier.groupBy(F.col("s_nationkey").alias("place_id")).agg(
+            F.count(F.lit(1)).alias("n_suppliers"))
+        j = (S.places(self.t).join(n_cust, "place_id", "left").join(ords, "place_id", "left")
+             .join(n_sup, "place_id", "left"))
+        n_orders = F.coalesce("n_orders", F.lit(0)).cast("bigint")
+        value = F.coalesce("order_value", F.lit(0)).cast("decimal(38,2)")
+        population = (F.coalesce("n_suppliers", F.lit(0)) * F.lit(S.PEOPLE_PER_CUSTOMER)).cast("bigint")
+        return j.select(
+            "place_id", "place_name", "region",
+            F.coalesce("n_customers", F.lit(0)).cast("bigint").alias("n_customers"),
+            n_orders.alias("n_orders"), value.alias("order_value"),
+            F.coalesce("first_order", F.lit(K.VALID_TO_OPEN).cast("date")).alias("first_order_date"),
+            population.alias("population"),
+            K.rate_per_100k(n_orders, population).alias("orders_per_100k"),
+            K.rate_per_100k(value, population).alias("order_value_per_100k"))
+
     def revenue_mart(self, address_dim: DataFrame) -> DataFrame:
         f = self.revenue_fact
         c = self.calendar.select("calendar_key", "year", "full_date", "month", "quarter")
