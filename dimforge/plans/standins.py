@@ -70,9 +70,11 @@ def member_changes(t: Tables) -> DataFrame:
 
 
 def places(t: Tables) -> DataFrame:
-    """nation + region: 25 and 5 rows by definition of the schema, so the
-    broadcast of region is size-bounded."""
-    return (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    """nation + region.  No broadcast hint: the planner broadcasts a side
+    only when its size estimate is under ``autoBroadcastJoinThreshold`` and
+    AQE re-checks the measured size, so a larger place table falls back to
+    a shuffle join instead of failing."""
+    return (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_nationkey").alias("place_id"), F.col("n_name").alias("place_name"),
                     F.col("r_name").alias("region")))
 
@@ -107,6 +109,6 @@ def addresses(t: Tables) -> DataFrame:
     joining on raw text would miss — the normalised key is required."""
     p = places(t)
     return (t.customer.select("c_custkey", "c_nationkey")
-            .join(F.broadcast(p), F.col("c_nationkey") == F.col("place_id"))
+            .join(p, F.col("c_nationkey") == F.col("place_id"))
             .select(F.col("c_custkey").alias("address_id"), F.lower("place_name").alias("place_name"),
                     F.col("region")))
