@@ -305,8 +305,11 @@ class Warehouse:
                                 F.col("size_band").alias("origin_band"))
         pd = self.place_dim.select(F.col("place_key").alias("destination_place_key"),
                                    F.col("place_name").alias("destination_place"))
-        j = (f.join(c, "calendar_key").join(cu, "customer_key").join(m, "member_key")
-             .join(su, "supplier_key").join(ao, "origin_address_key").join(pd, "destination_place_key"))
+        # supplier first: the fact leaves its own supplier join hash
+        # partitioned on that key, so this join adds no shuffle of the fact;
+        # the small calendar and place tables go last (broadcast by size)
+        j = (f.join(su, "supplier_key").join(cu, "customer_key").join(ao, "origin_address_key")
+             .join(m, "member_key").join(c, "calendar_key").join(pd, "destination_place_key"))
         return j.select("order_id", "line_no", "paid_at", "paid", "list_price", "discount", "trip_status",
                         "year", "full_date", "month", "quarter", "customer_name", "customer_segment",
                         "member_name", "member_version", "supplier_name", "origin_place",
