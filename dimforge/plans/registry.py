@@ -397,7 +397,9 @@ def trip_replace_by_key(spark, sf_dir):
     since = cut - F.expr("INTERVAL 1 DAY")
     recent = w.boardings.filter(F.col("l_shipdate") > since).select(F.col("l_orderkey").alias("trip_id"))
     new_trips = w.t.orders.filter(F.col("o_orderdate") >= cut).select(F.col("o_orderkey").alias("trip_id"))
-    return inc.replace_by_key(stored, w.trip_fact, ["trip_id"], recent.unionByName(new_trips))
+    affected = recent.unionByName(new_trips)
+    rebuilt, _ = w.trip_facts_for_keys(affected, "trip_id")
+    return inc.replace_by_key(stored, rebuilt, ["trip_id"], affected)
 
 
 # ============================================================================ CDC

@@ -261,6 +261,17 @@ class Warehouse:
             K.rate_per_100k(boardings, F.col("population")).alias("boardings_per_100k"),
             K.rate_per_100k(suggestions, F.col("population")).alias("suggestions_per_100k"))
 
+    def trip_facts_for_keys(self, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """(trip fact, revenue fact) rebuilt for the orders in ``keys`` only:
+        orders and boardings are semi-joined with the (small, distinct) key
+        set first, so the rebuild reads every source row once and computes
+        facts only for affected trips, each with all of its boardings."""
+        k = keys.select(F.col(key).alias("o_orderkey")).distinct()
+        orders = self.t.orders.join(k, "o_orderkey", "left_semi")
+        boardings = self.boardings.join(k.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", "left_semi")
+        trips = self.trips_for(orders, boardings)
+        return self.trip_fact_for(trips), self.revenue_fact_for(boardings, trips)
+
     def place_rates(self) -> DataFrame:
         """Every place (left joins) with customers, orders, order value, first
         order day and a supplier-based population; missing measures default

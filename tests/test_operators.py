@@ -65,9 +65,13 @@ def test_append_new_is_idempotent(spark):
 def test_replace_by_key_and_except(spark):
     stored = spark.createDataFrame([(1, "old"), (2, "same")], "k int, v string")
     rebuilt = spark.createDataFrame([(1, "new"), (2, "same"), (3, "added")], "k int, v string")
-    affected = spark.createDataFrame([(1,)], "k int")
+    affected = spark.createDataFrame([(1,), (3,), (3,)], "k int")     # changed key and new key
     out = inc.replace_by_key(stored, rebuilt, ["k"], affected)
     assert sorted(tuple(r) for r in out.collect()) == [(1, "new"), (2, "same"), (3, "added")]
+    # only affected keys are replaced: a rebuilt row outside the set is ignored
+    other = spark.createDataFrame([(1, "new"), (2, "recomputed")], "k int, v string")
+    out = inc.replace_by_key(stored, other, ["k"], affected)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "new"), (2, "same")]
     assert sorted(tuple(r) for r in inc.except_delta(rebuilt, stored).collect()) == [(1, "new"), (3, "added")]
 
 
