@@ -786,7 +786,8 @@ def incremental_equals_full(spark, sf_dir):
     L.full_load(spark, w_cut, _address_dim(spark, w_cut), root)
     L.incremental(spark, sf_dir, root)
     fresh = Warehouse(spark, sf_dir)
-    named = {}
+    out = None
     for n in L.DIMS + L.FACTS:
-        named.update(L.compare(n, P.read_current(spark, root, n), getattr(fresh, n)))
-    return Q.counts(named)
+        part = L.compare(n, P.read_current(spark, root, n), getattr(fresh, n))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -119,3 +119,16 @@ def test_calendar_only_unseen_dates(spark):
     new = cal.unseen_calendar_rows(dates, stored).collect()
     assert [(r.full_date, r.weekday, r.month, r.quarter) for r in new] == [(d("2025-07-09"), "WED", "07", 3)]
     assert dates.count() == 2
+
+
+def test_compare_counts_multiset_differences(spark):
+    from dimforge.plans.load import compare
+    pub = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    reb = spark.createDataFrame([(1, "a"), (2, "b"), (3, "d"), (None, "c")], "k int, v string")
+    got = {r.name: r.n_rows for r in compare("t", pub, reb).collect()}
+    assert got == {"t.rows": 4, "t.extra": 1, "t.missing": 1}
+    # same as exceptAll both ways
+    assert pub.exceptAll(reb).count() == 1 and reb.exceptAll(pub).count() == 1
+    empty = spark.createDataFrame([], "k int, v string")
+    assert {r.name: r.n_rows for r in compare("e", empty, empty).collect()} == {"e.rows": 0, "e.extra": 0,
+                                                                                 "e.missing": 0}
