@@ -85,3 +85,34 @@ def test_revenue_by_origin_keeps_the_fact_row_set(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     full = Warehouse(spark, SF_SMALL).revenue_fact.count()
     assert w.revenue_fact.count() < full          # the fixture really drops rows
+
+
+def boarding_grain_exchanges(df):
+    """Shuffles of un-aggregated lineitem rows in the physical plan."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    n = 0
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" not in line or "Aggregate" in lines[i + 1]:
+            continue
+        leaf = next(x for x in lines[i + 1:] if "FileScan" in x)
+        n += "lineitem" in leaf
+    return n
+
+
+def test_boarding_grain_shuffles_at_cluster_sizes(spark):
+    """With broadcasts off (dimensions too large, as on a cluster): the revenue
+    fact shuffles boardings twice, the penetration mart once, and the revenue
+    mart adds one per non-colocated dimension only."""
+    from dimforge.plans import registry as R
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        assert boarding_grain_exchanges(Warehouse(spark, SF_SMALL).revenue_fact) == 2
+        assert boarding_grain_exchanges(R.QUERIES["mart_penetration"](spark, SF_SMALL)) == 1
+        # fact (2) + customer, address, member, calendar, destination place; supplier reuses the fact's partitioning
+        assert boarding_grain_exchanges(R.QUERIES["mart_revenue"](spark, SF_SMALL)) == 7
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
