@@ -26,9 +26,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values() -> np.ndarray:
+def byte_values(fold: bool = True) -> np.ndarray:
+    """A factor for every byte; ``fold`` gives A-Z those of a-z."""
     lower = np.arange(256, dtype=np.uint64)
-    lower[ord("A"):ord("Z") + 1] += np.uint64(32)
+    if fold:
+        lower[ord("A"):ord("Z") + 1] += np.uint64(32)
     return _mix((lower + np.uint64(1)) * _BASE) | np.uint64(1)
 
 
@@ -52,26 +54,36 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and the first word index of every row (one more entry than rows)."""
-    flat, bounds = text_bytes(column)
-    if not len(flat):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+def word_starts(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are in a word, and which begin one."""
     inside = ~((flat == 32) | ((flat >= 9) & (flat <= 13)))
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     rows = bounds[:-1][bounds[:-1] < len(flat)]
     first[rows] = inside[rows]
+    return inside, first
+
+
+def hash_runs(flat: np.ndarray, inside: np.ndarray, first: np.ndarray, values: np.ndarray):
+    """Hash, begin and length of the byte runs that ``first`` begins among the bytes ``inside``."""
     at = np.flatnonzero(inside)
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+        return np.zeros(0, np.uint64), starts, starts
     begin = np.searchsorted(at, starts)  # a word's first byte among the non-space bytes
     lengths = np.diff(np.append(begin, len(at)))
     place = np.arange(len(at)) - np.repeat(begin, lengths)
     powers = np.multiply.accumulate(np.full(int(lengths.max()), _BASE | np.uint64(1), dtype=np.uint64))
-    sums = np.add.reduceat(_byte_values()[flat[at]] * powers[place], begin)
-    return _mix(sums), np.searchsorted(starts, bounds)
+    return _mix(np.add.reduceat(values[flat[at]] * powers[place], begin)), starts, lengths
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and the first word index of every row (one more entry than rows)."""
+    flat, bounds = text_bytes(column)
+    if not len(flat):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    hashes, starts, _ = hash_runs(flat, *word_starts(flat, bounds), byte_values())
+    return hashes, np.searchsorted(starts, bounds)
 
 
 def shingle_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
