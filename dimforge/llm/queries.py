@@ -3,17 +3,79 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimforge.llm.signature_join import near_duplicates
+from dimforge.llm import chat, html_tree, langid, line_rules, mixing, packing, pii_crf, signature_join, suffix_dedup, topk
+
+TOKENIZER = "word_bpe_49k.json"
+LANG_WEIGHTS = {"en": 5, "de": 3, "fr": 2, "es": 2}  # other languages weigh 1
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    """Where a public tokenizer's file is; the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.extract_main_text(_read(spark, sf_dir, "pages"))
+
+
+def language_weights(documents: DataFrame) -> DataFrame:
+    """A weight for each leaf of the source tree, by its language."""
+    weight = F.lit(1)
+    for lang, w in LANG_WEIGHTS.items():
+        weight = F.when(F.col("lang") == lang, w).otherwise(weight)
+    keys = [F.coalesce(F.col(k), F.lit("none")).alias(k) for k in mixing.LEVELS]
+    return documents.select(*keys).distinct().withColumn("weight", weight.cast("long"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = mixing.with_domain(_read(spark, sf_dir, "documents"))
+    return mixing.mix(documents, language_weights(documents))
+
+
 def op3_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_read(spark, sf_dir, "documents"))
+    return signature_join.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_frequency_rules(_read(spark, sf_dir, "documents"))
+
+
+def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find_personal_data(_read(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(rows.unionByName(chat.control_conversation(spark))))
 
 
-QUERIES = {f.__name__: f for f in (op3_signature_join,)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_html_tree, op2_mixing, op3_signature_join, op4_line_rules, op5_pii_crf,
+                                   op6_suffix_dedup, op7_packing, op8_langid, op9_topk, op10_chat)}
+ORACLE: dict[str, str] = {"op4_line_rules": line_rules.LINE_FREQUENCY_SQL, "op9_topk": topk.TOP_K_SQL,
+                          "op10_chat": chat.DIGEST_SQL}
