@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import pick
+from dimforge.llm.shared import pick, store
 
 SPACE = r"[ \t-\r]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -48,8 +48,8 @@ def _covered(positions: Column) -> Column:
 
 
 def _repeated_packed(hashes: Column) -> Column:
-    low = F.lit((1 << PACKED_POSITIONS) - 1)
-    packed = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(~low).bitwiseOR(i.cast("long"))))
+    low, high = F.lit((1 << PACKED_POSITIONS) - 1).cast("long"), F.lit(-(1 << PACKED_POSITIONS)).cast("long")
+    packed = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(high).bitwiseOR(i.cast("long"))))
     same = lambda a, b: F.shiftright(a, PACKED_POSITIONS) == F.shiftright(b, PACKED_POSITIONS)
     return let(packed, lambda s: F.sort_array(F.transform(
         F.filter(s, lambda x, i: F.coalesce(same(x, F.get(s, i - 1)), F.lit(False))
@@ -123,52 +123,60 @@ def boilerplate(documents: DataFrame) -> DataFrame:
             .select("doc_id", "text_id", "host", "line", "place", "words").distinct())
 
 
-def line_frequency_rules(documents: DataFrame) -> DataFrame:
-    """``documents(doc_id, text, source)`` -> statistics and verdict, a row for each input row.
-
-    Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, n_boiler_words, kept.  Null text is empty (and
-    fails); null source is a host of its own; repeated rows are judged alike;
-    an empty table gives no rows.  Other columns are ignored.
-    """
+def _judged(documents: DataFrame, lost: DataFrame) -> DataFrame:
+    """Statistics and verdict by (doc_id, text_id, host)."""
     docs = _documents(documents)
     stats = docs.select("doc_id", "host", _text_id(F.col("text")).alias("text_id"),
                         *(c.alias(k) for k, c in base_columns(F.col("text")).items()))
     stats = stats.select("doc_id", "host", "text_id", "of_words.*", "n_symbols", "n_dup_lines")
-    lost = (boilerplate(documents).groupBy("doc_id", "text_id", "host")
-            .agg(F.sum("words").cast("long").alias("lost")))
-    left = stats.alias("s").join(lost.alias("b"), F.col("s.doc_id").eqNullSafe(F.col("b.doc_id"))
+    words = lost.groupBy("doc_id", "text_id", "host").agg(F.sum("words").cast("long").alias("lost"))
+    left = stats.alias("s").join(words.alias("b"), F.col("s.doc_id").eqNullSafe(F.col("b.doc_id"))
                                  & (F.col("s.text_id") == F.col("b.text_id"))
                                  & (F.col("s.host") == F.col("b.host")), "left")
     n, failed = F.col("n_words"), F.col("base_failed")
     rest = n - F.col("n_boiler_words")
-    return (left.select("s.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                        F.coalesce("lost", F.lit(0).cast("long")).alias("n_boiler_words"))
+    return (left.select("s.doc_id", "s.text_id", "s.host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", F.coalesce("lost", F.lit(0).cast("long")).alias("n_boiler_words"))
             .withColumn("base_failed", (n < LEAST_WORDS)
                         | (F.col("n_repeat_words") * 100 > n * MOST_REPEAT_PERCENT))
             .withColumn("kept", ~failed & (rest >= LEAST_WORDS) & (rest * 100 >= n * LEAST_LEFT_PERCENT)))
 
 
+def line_frequency_rules(documents: DataFrame) -> DataFrame:
+    """``documents(doc_id, text, source)`` -> statistics and verdict, a row for each input row.
+
+    Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, n_boiler_words, base_failed, kept.  Null text is empty (and
+    fails); null source is a host of its own; repeated rows are judged alike;
+    an empty table gives no rows.  Other columns are ignored.
+    """
+    return _judged(documents, boilerplate(documents)).drop("text_id", "host")
+
+
 def clean_documents(documents: DataFrame) -> DataFrame:
-    """The documents that are kept, all their columns, their text without boilerplate lines.
+    """The documents that are kept, with all their columns, their text without boilerplate lines.
 
     Lines that stay are unchanged and in order.  ``n_chars``, if there is such a
-    column, is set to the new length.  Nulls as in ``line_frequency_rules``.
+    column, is set to the new length where lines were removed.  Nulls and
+    repeated rows as in ``line_frequency_rules``.
     """
-    rules = line_frequency_rules(documents).where("kept").select("doc_id").distinct()
-    lost = (boilerplate(documents).groupBy("doc_id", "text_id", "host")
-            .agg(F.sort_array(F.collect_set("line")).alias("lost")))  # at most the lines of one document
-    docs = documents.withColumn("_text_id", _text_id(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumn(
-        "_host", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
-    lost = lost.select(F.col("doc_id").alias("_lost_id"), F.col("text_id").alias("_lost_text"),
-                       F.col("host").alias("_lost_host"), F.col("lost").alias("_lost"))
-    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (F.col("_text_id") == F.col("_lost_text"))
-                       & (F.col("_host") == F.col("_lost_host")), "left")
+    lost = store(boilerplate(documents), "boilerplate")
+    verdict = (_judged(documents, lost).where("kept")
+               .select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "text_id", "host"))).distinct())
+    lines = (lost.groupBy("doc_id", "text_id", "host").agg(F.collect_set("line").alias("_lost"))  # one document's lines
+             .select(F.col("doc_id").alias("_d"), F.col("text_id").alias("_t"), F.col("host").alias("_h"), "_lost"))
+    verdict = verdict.join(lines, F.col("_doc_id").eqNullSafe(F.col("_d")) & (F.col("_text_id") == F.col("_t"))
+                           & (F.col("_host") == F.col("_h")), "left").select("_doc_id", "_text_id", "_host", "_lost")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    host = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    joined = documents.join(verdict, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (_text_id(text) == F.col("_text_id"))
+                            & (host == F.col("_host")))
     stays = F.concat_ws("\n", F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_lost", _line_hash(x))))
-    out = joined.withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(stays))
+    out = {"text": F.when(F.col("_lost").isNull(), F.col("text")).otherwise(stays)}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
-    return out.join(rules, "doc_id", "left_semi").select(*documents.columns)
+        out["n_chars"] = F.when(F.col("_lost").isNull(), F.col("n_chars")).otherwise(
+            F.length(stays).cast(dict(documents.dtypes)["n_chars"]))
+    return joined.select(*(out.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns))
 
 
 LINE_FREQUENCY_SQL = r"""
