@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import pick, store
+from dimforge.llm.shared import as_rows, pick, store
 
 SPACE = r"[ \t-\r]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -98,8 +98,16 @@ def _text_id(text: Column) -> Column:
 
 def _documents(documents: DataFrame) -> DataFrame:
     docs = pick(documents, doc_id="long", text="string", source="string")
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host"))
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _host(F.col("source")).alias("host"))
+
+
+def _host(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
+def _same(a: str, b: str) -> Column:
+    return (F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_id") == F.col(f"{b}.text_id"))
+            & (F.col(f"{a}.host") == F.col(f"{b}.host")))
 
 
 def boilerplate(documents: DataFrame) -> DataFrame:
@@ -130,9 +138,7 @@ def _judged(documents: DataFrame, lost: DataFrame) -> DataFrame:
                         *(c.alias(k) for k, c in base_columns(F.col("text")).items()))
     stats = stats.select("doc_id", "host", "text_id", "of_words.*", "n_symbols", "n_dup_lines")
     words = lost.groupBy("doc_id", "text_id", "host").agg(F.sum("words").cast("long").alias("lost"))
-    left = stats.alias("s").join(words.alias("b"), F.col("s.doc_id").eqNullSafe(F.col("b.doc_id"))
-                                 & (F.col("s.text_id") == F.col("b.text_id"))
-                                 & (F.col("s.host") == F.col("b.host")), "left")
+    left = stats.alias("s").join(words.alias("b"), _same("s", "b"), "left")
     n, failed = F.col("n_words"), F.col("base_failed")
     rest = n - F.col("n_boiler_words")
     return (left.select("s.doc_id", "s.text_id", "s.host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -160,23 +166,23 @@ def clean_documents(documents: DataFrame) -> DataFrame:
     column, is set to the new length where lines were removed.  Nulls and
     repeated rows as in ``line_frequency_rules``.
     """
+    keys = ["doc_id", "text_id", "host"]
     lost = store(boilerplate(documents), "boilerplate")
-    verdict = (_judged(documents, lost).where("kept")
-               .select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "text_id", "host"))).distinct())
-    lines = (lost.groupBy("doc_id", "text_id", "host").agg(F.collect_set("line").alias("_lost"))  # one document's lines
-             .select(F.col("doc_id").alias("_d"), F.col("text_id").alias("_t"), F.col("host").alias("_h"), "_lost"))
-    verdict = verdict.join(lines, F.col("_doc_id").eqNullSafe(F.col("_d")) & (F.col("_text_id") == F.col("_t"))
-                           & (F.col("_host") == F.col("_h")), "left").select("_doc_id", "_text_id", "_host", "_lost")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    host = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    joined = documents.join(verdict, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (_text_id(text) == F.col("_text_id"))
-                            & (host == F.col("_host")))
-    stays = F.concat_ws("\n", F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_lost", _line_hash(x))))
-    out = {"text": F.when(F.col("_lost").isNull(), F.col("text")).otherwise(stays)}
+    lines = lost.groupBy(*keys).agg(F.collect_set("line").alias("lost"))  # one document's lines at most
+    kept = _judged(documents, lost).where("kept").select(*keys).distinct().alias("k")
+    verdict = (kept.join(lines.alias("l"), _same("k", "l"), "left").select(*(f"k.{c}" for c in keys), "lost"))
+    rows = as_rows(documents)
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), _text_id(text).alias("text_id"),
+                       _host(F.col("row.source")).alias("host"))
+    joined = rows.alias("r").join(verdict.alias("v"), _same("r", "v")).select("row", "lost")
+    stays = F.concat_ws("\n", F.filter(F.split("row.text", "\n"), lambda x: ~F.array_contains("lost", _line_hash(x))))
+    changed = {"text": stays}
     if "n_chars" in documents.columns:
-        out["n_chars"] = F.when(F.col("_lost").isNull(), F.col("n_chars")).otherwise(
-            F.length(stays).cast(dict(documents.dtypes)["n_chars"]))
-    return joined.select(*(out.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns))
+        changed["n_chars"] = F.length(stays).cast(dict(documents.dtypes)["n_chars"])
+    return joined.select(*(
+        F.when(F.col("lost").isNull(), F.col(f"row.`{c}`")).otherwise(changed[c]).alias(c) if c in changed
+        else F.col(f"row.`{c}`").alias(c) for c in documents.columns))
 
 
 LINE_FREQUENCY_SQL = r"""

@@ -100,6 +100,11 @@ def _narrow(rows: DataFrame, wanted: DataFrame, shift: int) -> DataFrame:
     return sums.select(*keys, F.col("next").alias("cell"), (F.col("need") - F.col("until") + F.col("n")).alias("need"))
 
 
+def n_tokens(text: Column) -> Column:
+    """What a document costs: its words."""
+    return F.size(words_of(F.coalesce(text, F.lit("")))).cast("long")
+
+
 def with_domain(documents: DataFrame) -> DataFrame:
     """Documents with a ``domain`` where a corpus names none: sources by the first digit of their MD5."""
     digit = F.substring(F.md5(F.coalesce(F.col("source").cast("string"), F.lit("none")).cast("binary")), 1, 1)
@@ -122,7 +127,7 @@ def mix(documents: DataFrame, weights: DataFrame | None, total: int | None = Non
     keys = list(LEVELS)
     docs = pick(documents, doc_id="long", text="string", domain="string", lang="string", source="string").select(
         "doc_id", *(F.coalesce(F.col(k), F.lit("none")).alias(k) for k in keys),
-        F.size(words_of(F.coalesce("text", F.lit("")))).cast("long").alias("n_tokens"))
+        n_tokens(F.col("text")).alias("n_tokens"))
     docs = store(docs, "mix")
     leaves = docs.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens"))
     if weights is None:

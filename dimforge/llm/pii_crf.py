@@ -270,7 +270,7 @@ def _listed(spans) -> str:
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
-                    ("spans", pa.string()), ("n_added", pa.int64()), ("text", pa.string())])
+                    ("spans", pa.string()), ("n_added", pa.int64())])
 
 
 def find_all(texts: list[str], model: dict | None) -> list[tuple[list, list]]:
@@ -302,7 +302,7 @@ def masked(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
-def _search(model, mask: bool):
+def _search(model):
     def run(batches):
         field = model.value
         nothing = hashlib.sha256(b"").hexdigest()
@@ -312,28 +312,61 @@ def _search(model, mask: bool):
                 some = np.flatnonzero(pc.match_substring_regex(text, "[0-9@]").to_numpy(zero_copy_only=False))
                 rows = [(0, 0, 0, 0, nothing, "", 0)] * (b - a)
                 texts = text.take(pa.array(some)).to_pylist()
-                shown = text.to_pylist() if mask else [None] * (b - a)
-                for i, t, (base, added) in zip(some.tolist(), texts, find_all(texts, field), strict=True):
+                for i, (base, added) in zip(some.tolist(), find_all(texts, field), strict=True):
                     n = [sum(s[0] == k for s in base) for k in range(OTHER)]
                     rows[i] = (*n, hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(base + added), len(added))
-                    if mask:
-                        shown[i] = masked(t, base + added)
-                yield batch_of(_FOUND, batch.column(0).slice(a, b - a), *zip(*rows, strict=True), shown)
+                yield batch_of(_FOUND, batch.column(0).slice(a, b - a), *zip(*rows, strict=True))
     return run
 
 
-def find_personal_data(documents: DataFrame, mask: bool = False) -> DataFrame:
+def find_personal_data(documents: DataFrame) -> DataFrame:
     """``documents(doc_id, text)`` -> a row for each input row: counts, digest and list of spans.
 
     Columns: doc_id, n_email, n_ip, n_card, n_phone (pattern spans), base_sha256
-    (of the pattern spans), spans (all, as kind:start:end in code points),
-    n_added (by the field); with ``mask`` also text, its spans replaced by
-    ``<KIND>``.  Null text is empty and has none; repeated rows are treated
-    alike; without any labelled token the patterns stand alone.  Other columns
-    are ignored.
+    (of the pattern spans), spans (all, as kind:start:end in code points) and
+    n_added (by the field).  Null text is empty and has none; repeated rows are
+    treated alike; without any labelled token the patterns stand alone.  Other
+    columns are ignored.
     """
     model = documents.sparkSession.sparkContext.broadcast(train(documents))
     fields = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string",
-                        "n_added long", "text string"])
-    out = pick(documents, doc_id="long", text="string").mapInArrow(_search(model, mask), fields)
-    return out if mask else out.drop("text")
+                        "n_added long"])
+    return pick(documents, doc_id="long", text="string").mapInArrow(_search(model), fields)
+
+
+def _mask(model):
+    def run(batches):
+        field = model.value
+        for batch in batches:
+            names = batch.schema.names
+            at = names.index("text")
+            for a, b in text_chunks(batch.column(at), 500_000):
+                part = batch.slice(a, b - a)
+                column = part.column(at)
+                some = np.flatnonzero(pc.fill_null(pc.match_substring_regex(column, "[0-9@]"), False)
+                                      .to_numpy(zero_copy_only=False))
+                if not len(some):
+                    yield part
+                    continue
+                texts, changed = column.to_pylist(), {}
+                for i, (base, added) in zip(some.tolist(), find_all([texts[i] for i in some], field), strict=True):
+                    if base or added:
+                        changed[i] = texts[i] = masked(texts[i], base + added)
+                arrays = list(part.columns)
+                arrays[at] = pa.array(texts, type=column.type)
+                if "n_chars" in names and changed:
+                    sizes = part.column(names.index("n_chars")).to_pylist()
+                    for i, t in changed.items():
+                        sizes[i] = len(t)
+                    arrays[names.index("n_chars")] = pa.array(sizes, type=part.column(names.index("n_chars")).type)
+                yield pa.RecordBatch.from_arrays(arrays, schema=part.schema)
+    return run
+
+
+def mask_personal_data(documents: DataFrame) -> DataFrame:
+    """All rows and columns of ``documents``, with every span in ``text`` replaced by ``<KIND>``.
+
+    ``n_chars``, if there is such a column, follows.  Null text stays null.
+    """
+    model = documents.sparkSession.sparkContext.broadcast(train(documents))
+    return documents.mapInArrow(_mask(model), documents.schema)

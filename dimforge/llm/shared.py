@@ -24,6 +24,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()))
 
 
+def as_rows(df: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that columns added beside it can't clash with any."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def batch_of(schema: pa.Schema, *arrays) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, type=f.type) for a, f in zip(arrays, schema, strict=True)],
                                       schema=schema)
