@@ -10,6 +10,8 @@ says where the n-th piece of a length stands.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -23,39 +25,79 @@ from dimforge.llm.shingles import byte_values, hash_runs, text_bytes, text_chunk
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000      # words whose ids a task remembers at once
+CACHE_WORDS = 1_500_000    # words whose ids a Python worker remembers at once
+JOINED_WORDS = 64
 RANKED_ROWS = 200_000      # rows of one length numbered in one task, about
 
 
 # --- tokens --------------------------------------------------------------------------------------
 
+def _signs_at_end(flat: np.ndarray, inside: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Begins of the run of ASCII signs with which a word ends, if there is an ASCII letter before it."""
+    lower = flat | 32
+    letter = (lower >= 97) & (lower <= 122)
+    sign = inside & (flat < 128) & ~letter & ~((flat >= 48) & (flat <= 57))
+    starts = sign.copy()
+    starts[1:] &= letter[:-1] & ~first[1:]
+    starts[:1] = False
+    # a run of signs ends a word if what follows it is no part of the word
+    at = np.flatnonzero(starts)
+    change = np.flatnonzero(np.append(~sign[1:] | first[1:], True))  # last positions of runs
+    last = change[np.searchsorted(change, at)]
+    ends = np.ones(len(at), bool)
+    more = last + 1 < len(flat)
+    ends[more] = ~inside[last[more] + 1] | first[last[more] + 1]
+    out = np.zeros(len(flat), bool)
+    out[at[ends]] = True
+    return out
+
+
 class WordIds:
     """Token ids by word.  The tokenizer never joins characters across white space, so words can be looked up.
 
-    A final full stop or comma behind an ASCII letter is a token of its own too.
+    Signs at the end of a word, behind an ASCII letter, are tokens of their own
+    too.  Words not known yet are encoded many at a time, with one of the
+    tokenizer's special tokens, which never joins with anything, between them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.between = max(special, key=special.get, default="")
+        self.between_id = special.get(self.between)
+        self.special = [x.encode() for x in special]
         self.clear()
 
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        self.pool = np.full(1, END_ID, np.uint32)
+
+    def _ids_of(self, words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a line, and where those of each word begin and how many they are."""
+        if plain and self.between:
+            mark = self.between.encode()
+            lines = [mark.join(words[k:k + JOINED_WORDS]).decode() for k in range(0, len(words), JOINED_WORDS)]
+            found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.concatenate([np.array([*e.ids, self.between_id], np.uint32) for e in found])
+            ends = np.flatnonzero(ids == self.between_id)
+            begin = np.append(0, ends[:-1] + 1)
+            return ids, begin, ends - begin
+        found = [np.array(e.ids, np.uint32) for e in
+                 self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
         size = np.array([len(x) for x in found], np.int64)
-        begin = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, *found])
-        order = np.argsort(np.concatenate([self.hashes, hashes]))
-        self.hashes = np.concatenate([self.hashes, hashes])[order]
-        self.begin = np.concatenate([self.begin, begin])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        return np.concatenate(found), np.cumsum(size) - size, size
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes], plain: bool) -> None:
+        ids, begin, size = self._ids_of(words, plain)
+        at = np.searchsorted(self.hashes, hashes)  # both are sorted
+        self.begin = np.insert(self.begin, at, begin + len(self.pool))
+        self.size = np.insert(self.size, at, size)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in a line, END_ID behind each, and the row boundaries in them."""
@@ -63,14 +105,10 @@ class WordIds:
         rows = len(bounds) - 1
         if len(flat):
             inside, first = word_starts(flat, bounds)
-            letter = ((flat | 32) >= 97) & ((flat | 32) <= 122)
-            stop = (flat == 46) | (flat == 44)
-            last = np.ones(len(flat), bool)
-            last[:-1] = ~inside[1:]
-            ends = bounds[1:][bounds[1:] > 0] - 1
-            last[ends] = True
-            first[1:] |= stop[1:] & letter[:-1] & last[1:]
-            special = b"<|" in flat.tobytes()  # special tokens are told by case
+            data = flat.tobytes()
+            special = any(x in data for x in self.special)  # special tokens have signs in them, and are told by case
+            if not special:
+                first |= _signs_at_end(flat, inside, first)
             hashes, starts, lengths = hash_runs(flat, inside, first, byte_values(fold=not special))
         else:
             hashes = starts = lengths = np.zeros(0, np.int64)
@@ -84,28 +122,35 @@ class WordIds:
         inside_range = place < len(self.hashes)
         new[inside_range] = self.hashes[place[inside_range]] != known[inside_range]
         if new.any():
-            data = flat.tobytes()
-            self._learn(known[new], [data[s:s + n].decode() for s, n in
-                                     zip(starts[at[new]].tolist(), lengths[at[new]].tolist(), strict=True)])
+            self._learn(known[new], [data[s:s + n] for s, n in
+                                     zip(starts[at[new]].tolist(), lengths[at[new]].tolist(), strict=True)], not special)
             place = np.searchsorted(self.hashes, known)
         begin, size = self.begin[place][inverse], self.size[place][inverse]
         # END_ID as one more word behind each row
         row_of = np.searchsorted(starts, bounds[1:])
-        begin = np.insert(begin, row_of, 0)
+        begin = np.insert(begin, row_of, 0)  # the pool begins with END_ID
         size = np.insert(size, row_of, 1)
         last_word = row_of + np.arange(rows)
         out = np.cumsum(size)
         ids = self.pool[np.repeat(begin - out + size, size) + np.arange(out[-1])]
-        ids[out[last_word] - 1] = END_ID
         return ids, np.concatenate([[0], out[last_word]])
 
 
+def worker_words(path: str) -> WordIds:
+    """The word ids of this Python worker, which Spark reuses for many tasks; only a memory of what is the same anyway."""
+    state = sys.modules.setdefault("dimforge_worker", types.ModuleType("dimforge_worker"))
+    known = state.__dict__.setdefault("word_ids", {})
+    if path not in known:
+        known[path] = WordIds(path)
+    return known[path]
+
+
 def _cut(path: str, capacity: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64())])
 
     def run(batches):
-        words = WordIds(path)
+        words = worker_words(path)
         for batch in batches:
             for a, b in text_chunks(batch.column(1)):
                 ids, bounds = words.encode(batch.column(1).slice(a, b - a))

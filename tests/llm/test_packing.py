@@ -59,7 +59,7 @@ def test_tree_finds_the_tightest_room():
 
 
 TEXTS = ["Hello, world. It's 25 o'clock...", "", None, "<|endoftext|> and <|StartOfText|> A.", "don't. can't, WON'T", "é É ß İ  x\x0by",
-         "a.b, c.", "x" * 3000, "日本語 テキスト.", "word. " * 6000, "...", ", . a", "é. café,"]
+         "a.b, c.", "x" * 3000, "日本語 テキスト.", "word. " * 6000, "stop!!? a,b,, c.d!x", "word!!<|endoftext|>!!", "x!\u00e9!!", "it's,' can't'", "A-B-- 1-- \u00e9--","...", ", . a", "é. café,"]
 
 
 def test_ids_are_the_tokenizers():
