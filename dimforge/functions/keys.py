@@ -62,10 +62,15 @@ def surrogate_key(namespace: str, *cols) -> Column:
     """Deterministic surrogate key: md5 of 'namespace|c1|c2...'.
 
     Rebuilding a table gives the same keys, so reruns and set-difference
-    reconciliations line up (a random UUID would not).
+    reconciliations line up (a random UUID would not).  Separators inside a
+    part are escaped and NULL has a mark of its own, so that different parts
+    never make one key.
     """
-    parts = [F.lit(namespace)] + [_c(c).cast("string") for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
+    def part(c):
+        text = _c(c).cast("string")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(escaped, F.lit("\\N"))
+    return F.md5(F.concat_ws("|", F.lit(namespace), *[part(c) for c in cols]))
 
 
 def money(x) -> Column:
@@ -101,9 +106,11 @@ def calendar_key(d) -> Column:
 
 def minutes_between(start, end) -> Column:
     """Whole minutes from start to end, rounded half away from zero
-    (casting straight to int would truncate)."""
-    secs = F.unix_timestamp(_c(end).cast("timestamp")) - F.unix_timestamp(_c(start).cast("timestamp"))
-    return F.round(secs / F.lit(60.0)).cast("int")
+    (casting straight to int would truncate); exact to the microsecond, and
+    on local times, whatever the session's zone."""
+    gap = _c(end).cast("timestamp_ntz") - _c(start).cast("timestamp_ntz")
+    secs = gap.cast("interval second").cast("decimal(28,6)")
+    return F.round(secs / F.lit(60).cast("decimal(2,0)"), 0).cast("bigint")
 
 
 def trip_status(has_cancel, has_delay, end_ts) -> Column:

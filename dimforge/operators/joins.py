@@ -24,23 +24,3 @@ def validity_join(facts: DataFrame, dim: DataFrame, fact_key: str, fact_date: Co
             & (F.col(f"{dim_alias}_valid_to").isNull() | (fd < F.col(f"{dim_alias}_valid_to"))))
     return facts.join(d, cond, how)
 
-
-def flags_per_key(notices: DataFrame, key: str, type_col: str, codes: dict[str, str]) -> DataFrame:
-    """One row per key with ``n_<name>`` counts and ``has_<name>`` flags for
-    each notice code — a single hash aggregate instead of one correlated
-    EXISTS per code."""
-    aggs = []
-    for name, code in codes.items():
-        aggs.append(F.count_if(F.col(type_col) == code).alias(f"n_{name}"))
-    out = notices.groupBy(key).agg(*aggs)
-    for name in codes:
-        out = out.withColumn(f"has_{name}", F.col(f"n_{name}") > 0)
-    return out
-
-
-def left_with_defaults(base: DataFrame, other: DataFrame, on, defaults: dict[str, Column]) -> DataFrame:
-    """Left join then ``coalesce`` the listed columns to their defaults (J6 + P9)."""
-    j = base.join(other, on, "left")
-    for c, dflt in defaults.items():
-        j = j.withColumn(c, F.coalesce(F.col(c), dflt))
-    return j

@@ -60,18 +60,21 @@ def current_flag_inconsistent(dim: DataFrame, key: str) -> DataFrame:
 
 
 def overlapping_validity(dim: DataFrame, key: str) -> DataFrame:
-    """Versions overlapping the next one in start order.  With end >= start,
-    some pair overlaps iff an adjacent pair does, so a ``lead`` replaces the
-    all-pairs self join."""
-    w = Window.partitionBy(key).orderBy("valid_from", "version")
+    """Every version that starts inside an earlier one, a row each: ``version``
+    is the earlier one that ends last, ``next_version`` the one inside it.
+    The latest end of all preceding versions is a running maximum, so no
+    pairs are formed, and a long version is found however many lie between.
+    Versions that end before they start are left to ``end_before_start``."""
     far = F.lit("9999-12-31").cast("date")
-    nxt = dim.select(key, "version", "valid_from", "valid_to",
-                     F.lead("version").over(w).alias("next_version"),
-                     F.lead("valid_from").over(w).alias("next_from"),
-                     F.lead("valid_to").over(w).alias("next_to"))
-    cond = ((F.col("next_from") < F.coalesce("valid_to", far))
-            & (F.col("valid_from") < F.coalesce("next_to", far)))
-    return nxt.filter(F.col("next_version").isNotNull() & cond).select(key, "version", "next_version")
+    lasts = F.coalesce("valid_to", far) > F.col("valid_from")  # the others cover nothing
+    w = (Window.partitionBy(key).orderBy("valid_from", lasts, "version")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    real = F.when(lasts, F.struct(F.coalesce("valid_to", far).alias("end"), F.col("version")))
+    seen = dim.select(key, F.col("version").alias("next_version"), "valid_from", "valid_to",
+                      F.max(real).over(w).alias("cover"))
+    return (seen.filter((F.col("valid_from") < F.col("cover.end"))
+                        & (F.coalesce("valid_to", far) >= F.col("valid_from")))
+            .select(key, F.col("cover.version").alias("version"), "next_version"))
 
 
 def end_before_start(dim: DataFrame) -> DataFrame:

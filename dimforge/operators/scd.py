@@ -76,11 +76,21 @@ def collapse_changes(changes: DataFrame, spec: Scd2Spec, ts_col: str, seq_col: s
     return last.withColumn("change_date", F.col(ts_col).cast("date")).drop(ts_col)
 
 
+def _with_type1(newcomers: DataFrame, dim: DataFrame, spec: Scd2Spec, type1_source: DataFrame | None) -> DataFrame:
+    """Newcomers with their type-1 attributes: from ``type1_source`` (a row per
+    key) if given, else those the feed carries, else NULL."""
+    if type1_source is not None:
+        return newcomers.join(type1_source.select(spec.key, *spec.type1), spec.key, "left")
+    return newcomers.select("*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c)
+                                   for c in spec.type1 if c not in newcomers.columns])
+
+
 def scd2_apply(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
-               seq_col: str) -> DataFrame:
+               seq_col: str, type1_source: DataFrame | None = None) -> DataFrame:
     """Apply one change batch to a type-2 dimension.
 
-    * keys not in the dimension enter as version 1 from the sentinel date;
+    * keys not in the dimension enter as version 1 from the sentinel date, with
+      type-1 attributes from ``type1_source`` or from the feed's own columns;
     * a key whose last state in the batch differs from its current version on
       any type-2 attribute gets version N+1 valid from the change date, and
       version N is closed at that date (``is_current`` -> 'N');
@@ -88,7 +98,8 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
       (``scd1_overwrite`` refreshes them on all versions).
     """
     k = spec.key
-    last = collapse_changes(changes, spec, ts_col, seq_col)
+    carried = tuple(c for c in spec.type1 if c in changes.columns) if type1_source is None else ()
+    last = collapse_changes(changes, spec, ts_col, seq_col, carried)
     new_cols = {c: f"_new_{c}" for c in spec.type2}
     last_r = last.select(k, *[F.col(c).alias(n) for c, n in new_cols.items()], "change_date")
 
@@ -113,10 +124,9 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
         F.lit(None).cast("date").alias("valid_to"),
         F.lit("Y").alias("is_current"),
     )
-    newcomers = last.join(current.select(k), k, "left_anti")
-    t1_null = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in spec.type1]
+    newcomers = _with_type1(last.join(current.select(k), k, "left_anti"), dim, spec, type1_source)
     inserted = newcomers.select(
-        _sk(spec, F.lit(1)).alias("sk"), k, *t1_null, *spec.type2,
+        _sk(spec, F.lit(1)).alias("sk"), k, *spec.type1, *spec.type2,
         F.lit(1).alias("version"),
         F.lit(K.VALID_FROM_SENTINEL).cast("date").alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
@@ -140,7 +150,7 @@ def scd2_close(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
-                       seq_col: str, batch: Column) -> DataFrame:
+                       seq_col: str, batch: Column, type1_source: DataFrame | None = None) -> DataFrame:
     """Apply a sequence of change batches (ordered by ``batch``) in one pass.
 
     Equivalent to calling ``scd2_apply`` once per batch in order: within a
@@ -153,8 +163,9 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
     k = spec.key
     current = dim.filter(F.col("is_current") == "Y")
     history = dim.filter(F.col("is_current") != "Y")
+    carried = [c for c in spec.type1 if c in changes.columns] if type1_source is None else []
     states = last_state_per_key(changes.withColumn("_batch", batch), [k, "_batch"],
-                                [ts_col, seq_col], [*spec.type2, ts_col])
+                                [ts_col, seq_col], [*spec.type2, *carried, ts_col])
     # Only members with changes go through the per-key window; the rest of
     # the current rows pass through.  One join against the batch's keys
     # (broadcast by AQE when the batch is small, so the dimension is not
@@ -164,10 +175,10 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
     untouched = marked.filter(F.col("_touched").isNull()).drop("_touched")
     current = marked.filter(F.col("_touched")).drop("_touched")
     btype = states.schema["_batch"].dataType
+    states = _with_type1(states, dim, spec, type1_source)
     states = states.select(
         k, *spec.type2, "_batch", F.col(ts_col).cast("date").alias("valid_from"),
-        F.lit(0).alias("_init"), F.lit(None).cast("int").alias("_v0"),
-        *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in spec.type1])
+        F.lit(0).alias("_init"), F.lit(None).cast("int").alias("_v0"), *spec.type1)
     init = current.select(k, *spec.type2, F.lit(None).cast(btype).alias("_batch"), "valid_from",
                           F.lit(1).alias("_init"), F.col("version").cast("int").alias("_v0"), *spec.type1)
     u = init.unionByName(states)
@@ -176,7 +187,8 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
         k, *spec.type2, "_batch", "valid_from", "_init",
         F.row_number().over(w).alias("_pos"),
         F.first("_v0", ignorenulls=True).over(w).alias("_base"),
-        *[F.first(c, ignorenulls=True).over(w).alias(c) for c in spec.type1],
+        # those of the current version, or of a newcomer's first state
+        *[F.first(c).over(w).alias(c) for c in spec.type1],
         *[F.lag(c).over(w).alias(f"_prev_{c}") for c in spec.type2])
     keep = (F.col("_pos") == 1) | _differs(spec.type2, [f"_prev_{c}" for c in spec.type2])
     kept = u.filter(keep).select(
@@ -197,9 +209,9 @@ def scd2_apply_batches(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_co
 
 
 def scd2_history(initial: DataFrame, changes: DataFrame, spec: Scd2Spec, ts_col: str,
-                 seq_col: str, batch: Column) -> DataFrame:
+                 seq_col: str, batch: Column, type1_source: DataFrame | None = None) -> DataFrame:
     """Full history from the initial load and the whole change feed."""
-    return scd2_apply_batches(initial, changes, spec, ts_col, seq_col, batch)
+    return scd2_apply_batches(initial, changes, spec, ts_col, seq_col, batch, type1_source)
 
 
 def scd1_overwrite(dim: DataFrame, source: DataFrame, key: str, cols: tuple[str, ...],

@@ -103,13 +103,13 @@ SELECT *, 'population_v2' AS _source_file, {_ts(S.LOAD_V2_AT)} AS _ingested_at F
 def _silver_body(src: str) -> str:
     return f"""
 SELECT code, trim(name) AS place_name, upper(trim(region)) AS region,
-       TRY_CAST(regexp_replace(population, '[^0-9]', '', 'g') AS INTEGER) AS population,
+       TRY_CAST(regexp_replace(population, '[^0-9]', '', 'g') AS BIGINT) AS population,
        TRY_CAST(ref_year AS INTEGER) AS ref_year,
        {_key_sql('name', 'region')} AS place_key,
        _ingested_at AS ingested_at
 FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY _ingested_at DESC,
              TRY_CAST(ref_year AS INTEGER) DESC NULLS LAST, _source_file DESC) AS rn FROM {src}) x
-WHERE rn = 1 AND TRY_CAST(regexp_replace(population, '[^0-9]', '', 'g') AS INTEGER) IS NOT NULL"""
+WHERE rn = 1 AND TRY_CAST(regexp_replace(population, '[^0-9]', '', 'g') AS BIGINT) IS NOT NULL"""
 
 
 frag("silver", ("bronze",), _silver_body("bronze"))
@@ -240,7 +240,7 @@ def _trip_fact_body(trips: str) -> str:
 SELECT t.o_orderkey AS trip_id, t.o_orderdate AS start_ts, t.end_ts, t.trip_status,
        {_money('t.o_totalprice')} AS price, t.n_boardings, t.revenue,
        CASE WHEN t.end_ts IS NOT NULL THEN
-         CAST(round(date_diff('second', t.o_orderdate, t.end_ts) / 60.0) AS INTEGER) END AS duration_min,
+         CAST(round(date_diff('microsecond', t.o_orderdate, t.end_ts) / 60000000.0) AS BIGINT) END AS duration_min,
        t.n_delay, t.n_cancel,
        {_sk('calendar', 'CAST(t.o_orderdate AS DATE)')} AS start_calendar_key,
        CASE WHEN t.end_ts IS NOT NULL THEN {_sk('calendar', 'CAST(t.end_ts AS DATE)')} END AS end_calendar_key,

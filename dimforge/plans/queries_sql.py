@@ -25,6 +25,19 @@ def _member_state(as_of: str | None) -> str:
       FROM member_changes {where}) x WHERE rn = 1 AND segment <> '{S.CLOSED_SEGMENT}')"""
 
 
+def _overlaps(dim: str) -> str:
+    """Every version that starts inside an earlier one (pair join), with the earlier one that ends last."""
+    far = "DATE '9999-12-31'"
+    return f"""
+SELECT b.member_id, max_by(a.version, struct_pack(e := coalesce(a.valid_to, {far}), v := a.version)) AS version,
+       b.version AS next_version
+FROM {dim} a JOIN {dim} b ON a.member_id = b.member_id
+  AND (a.valid_from < b.valid_from OR (a.valid_from = b.valid_from AND a.version < b.version))
+WHERE b.valid_from < coalesce(a.valid_to, {far}) AND a.valid_from < coalesce(b.valid_to, {far})
+  AND coalesce(b.valid_to, {far}) >= b.valid_from
+GROUP BY b.member_id, b.version"""
+
+
 DIFF = f"""
 SELECT coalesce(n.member_id, o.member_id) AS member_id,
        CASE WHEN o.member_id IS NULL THEN 'I' WHEN n.member_id IS NULL THEN 'D' ELSE 'U' END AS action,
@@ -62,7 +75,7 @@ FROM documents""",
 
     "silver_latest": """
 SELECT user_id, upper(trim(event_type)) AS last_event_type, CAST(value AS DECIMAL(18,2)) AS last_value,
-       ts AS last_ts, TRY_CAST(regexp_replace(props, '[^0-9]', '', 'g') AS INTEGER) AS props_number
+       ts AS last_ts, TRY_CAST(regexp_replace(props, '[^0-9]', '', 'g') AS BIGINT) AS props_number
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x
 WHERE rn = 1""",
 
@@ -174,12 +187,7 @@ WHERE f.expense_type = 'Member payment'""", "expense_fact", "calendar"),
     ]), "member_dim"),
 
     "overlap_pairs": sql("""
-SELECT member_id, version, next_version FROM (
-  SELECT member_id, version, valid_from, valid_to,
-         lead(version) OVER w AS next_version, lead(valid_from) OVER w AS next_from, lead(valid_to) OVER w AS next_to
-  FROM member_dim WINDOW w AS (PARTITION BY member_id ORDER BY valid_from, version)) x
-WHERE next_version IS NOT NULL AND next_from < coalesce(valid_to, DATE '9999-12-31')
-  AND valid_from < coalesce(next_to, DATE '9999-12-31')""", "member_dim"),
+""" + _overlaps("member_dim"), "member_dim"),
 
     "dq_versions_per_key": sql("""
 SELECT member_id, count(*) AS n_versions, count(*) FILTER (WHERE is_current = 'Y') AS n_current
@@ -446,10 +454,79 @@ _full = [(f"{n}.v1", f"SELECT * FROM {f}") for n, f in _TABLE_FRAGS.items() if n
 _full.append(("address_dim.v1", "SELECT * FROM address_dim"))
 _full += [(f"{n}.v1", f"SELECT * FROM {f}") for n, f in _TABLE_FRAGS.items() if n.endswith("_fact")]
 _inc = []
-for _n, _f in _TABLE_FRAGS.items():
+for _n, _f in {**_TABLE_FRAGS, "address_dim": "address_dim"}.items():
     _inc += [(f"{_n}.rows", f"SELECT * FROM {_f}"), (f"{_n}.extra", f"SELECT * FROM {_f} WHERE false"),
              (f"{_n}.missing", f"SELECT * FROM {_f} WHERE false")]
 SQL.update({
     "full_load_publish": sql(_counts(_full), *_TABLE_FRAGS.values(), "address_dim"),
-    "incremental_equals_full": sql(_counts(_inc), *_TABLE_FRAGS.values()),
+    "incremental_equals_full": sql(_counts(_inc), *_TABLE_FRAGS.values(), "address_dim"),
 })
+
+# -- damaged inputs ----------------------------------------------------------------
+SQL["silver_rejects"] = sql("""
+SELECT code, n AS population, CASE WHEN n IS NULL THEN 'population' END AS reject_reason
+FROM (SELECT code, TRY_CAST(regexp_replace(p, '[^0-9]', '', 'g') AS BIGINT) AS n
+      FROM (SELECT *, CASE WHEN CAST(substr(code, 2) AS INTEGER) % 3 = 0 THEN 'n/a'
+                           WHEN CAST(substr(code, 2) AS INTEGER) % 5 = 0 THEN repeat('9', 25)
+                           ELSE '6,000,' || population END AS p,
+                   row_number() OVER (PARTITION BY code ORDER BY _ingested_at DESC,
+                       TRY_CAST(ref_year AS INTEGER) DESC NULLS LAST, _source_file DESC) AS rn FROM bronze) x
+      WHERE rn = 1) y""", "bronze")
+
+O.frag("damaged_once", ("member_dim",), """
+SELECT * REPLACE (CASE WHEN version = 1 AND member_id % 7 = 0 THEN 'Y' ELSE is_current END AS is_current,
+                  CASE WHEN version = 1 AND member_id % 7 = 0 THEN NULL
+                       WHEN version = 1 AND member_id % 11 = 0 THEN CAST(valid_from - INTERVAL 1 DAY AS DATE)
+                       ELSE valid_to END AS valid_to)
+FROM member_dim""")
+O.frag("damaged", ("damaged_once",), """
+SELECT * FROM damaged_once UNION ALL SELECT * FROM damaged_once WHERE version = 1 AND member_id % 13 = 0""")
+
+SQL["overlap_violations"] = sql(_overlaps("damaged_once"), "damaged_once")
+
+SQL["dq_violations"] = sql(_counts([
+    ("multiple_current", "SELECT member_id FROM damaged WHERE is_current = 'Y' GROUP BY member_id HAVING count(*) > 1"),
+    ("current_flag_inconsistent", "SELECT * FROM damaged WHERE (is_current = 'Y') <> (valid_to IS NULL)"),
+    ("end_before_start", "SELECT * FROM damaged WHERE valid_to < valid_from"),
+    ("duplicate_version", "SELECT member_id FROM damaged GROUP BY member_id, version HAVING count(*) > 1"),
+    ("missing_from", "SELECT DISTINCT event_id FROM events WHERE event_id % 23 = 0"),
+    ("null_keys", "SELECT * FROM events WHERE event_id IS NULL OR event_id % 23 = 0"),
+    ("orphans", "SELECT * FROM trip_fact WHERE trip_id % 17 = 0"),
+    ("domain", "SELECT * FROM orders WHERE o_orderkey % 19 = 0 OR o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')"),
+    ("key_consistency", f"SELECT * FROM silver WHERE lower(place_key) <> {O._key_sql('place_name', 'region')}"),
+    ("role_rule", f"SELECT * FROM orders e JOIN member_dim m ON {O.VALID.format(k='e.o_custkey', d='e.o_orderdate')} "
+                  "WHERE m.member_id % 29 = 0"),
+    ("has_child", "SELECT * FROM customer WHERE c_custkey % 31 = 0 OR c_custkey NOT IN (SELECT o_custkey FROM orders)"),
+]), "damaged", "trip_fact", "silver", "member_dim")
+
+
+def _orphans(fact: str, fk: str, dim: str, pk: str) -> str:
+    return f"SELECT * FROM {fact} f WHERE {fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})"
+
+
+def _repeated(fact: str, *keys: str) -> str:
+    return f"SELECT {keys[0]} FROM {fact} GROUP BY {', '.join(keys)} HAVING count(*) > 1"
+
+
+SQL["dq_fact_keys"] = sql(_counts([
+    ("revenue.calendar", _orphans("revenue_fact", "calendar_key", "calendar", "calendar_key")),
+    ("revenue.customer", _orphans("revenue_fact", "customer_key", "customer_dim", "customer_key")),
+    ("revenue.member", _orphans("revenue_fact", "member_key", "member_dim", "sk")),
+    ("revenue.supplier", _orphans("revenue_fact", "supplier_key", "supplier_dim", "supplier_key")),
+    ("revenue.origin", _orphans("revenue_fact", "origin_place_key", "place_dim", "place_key")),
+    ("revenue.destination", _orphans("revenue_fact", "destination_place_key", "place_dim", "place_key")),
+    ("expense.calendar", _orphans("expense_fact", "calendar_key", "calendar", "calendar_key")),
+    ("expense.member", _orphans("expense_fact", "member_key", "member_dim", "sk")),
+    ("expense.customer", _orphans("expense_fact", "customer_key", "customer_dim", "customer_key")),
+    ("suggestion.customer", _orphans("suggestion_fact", "customer_key", "customer_dim", "customer_key")),
+    ("trip.start", _orphans("trip_fact", "start_calendar_key", "calendar", "calendar_key")),
+    ("trip.end", _orphans("trip_fact", "end_calendar_key", "calendar", "calendar_key")),
+    ("trip.key", _repeated("trip_fact", "trip_id")),
+    ("expense.key", _repeated("expense_fact", "source_id", "expense_type")),
+    ("suggestion.key", _repeated("suggestion_fact", "suggestion_id")),
+]), "revenue_fact", "expense_fact", "suggestion_fact", "trip_fact", "calendar", "customer_dim", "supplier_dim", "place_dim")
+
+O.frag("known_members", ("member_init",), "SELECT * FROM member_init WHERE member_id % 3 <> 0")
+_newcomers = O._history_body("member_changes", "CAST(change_ts AS DATE)")
+SQL["scd2_newcomers"] = sql(_newcomers.replace("FROM member_init\n", "FROM known_members\n", 1),
+                            "member_init", "known_members", "member_changes")

@@ -22,8 +22,8 @@ from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_exter
                                     scd2_close, scd2_history, scd2_initial, split_late_changes)
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
-from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, run_lake,
-                                 suggestion_penetration)
+from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, run_lake, silver_and_rejects,
+                                 staged_bronze, suggestion_penetration)
 from dimforge.plans.queries_sql import SQL
 from dimforge.plans.warehouse import Warehouse
 from dimforge.session import work_dir
@@ -95,7 +95,7 @@ def silver_latest(spark, sf_dir):
     latest = latest_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
     return latest.select("user_id", F.upper(F.trim("event_type")).alias("last_event_type"),
                          K.money("value").alias("last_value"), F.col("ts").alias("last_ts"),
-                         F.regexp_replace("props", "[^0-9]", "").try_cast("int").alias("props_number"))
+                         F.regexp_replace("props", "[^0-9]", "").try_cast("bigint").alias("props_number"))
 
 
 @register("enrich_left_join")
@@ -197,7 +197,7 @@ def sorted_export(spark, sf_dir):
     root = work_dir(spark, "sorted-export")
     export = f"{root}/export/sorted"
     ingest.export_sorted_csv(lake.silver.select("code", "place_name", "population"), export, ["code"])
-    return ingest.read_typed_csv(spark, export, "code string, place_name string, population int")
+    return ingest.read_typed_csv(spark, export, "code string, place_name string, population bigint")
 
 
 # ============================================================================ calendar
@@ -448,12 +448,9 @@ def quarantine_counts(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
     valid = F.col("value").isNotNull() & (F.col("value") >= 0) & k.isNotNull() & F.col("ts").isNotNull()
     ok, bad = cdc.split_quarantine(e, valid, F.lit("malformed"))
-    good = ok.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_ok"))
-    quar = bad.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_quarantined"))
-    types = e.select("event_type").distinct()
-    return (types.join(good, "event_type", "left").join(quar, "event_type", "left")
-            .select("event_type", F.coalesce("n_ok", F.lit(0)).alias("n_ok"),
-                    F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined")))
+    both = (ok.select("event_type", F.lit(True).alias("ok"))
+            .unionByName(bad.select("event_type", F.lit(False).alias("ok"))))
+    return both.groupBy("event_type").agg(F.count_if("ok").alias("n_ok"), F.count_if(~F.col("ok")).alias("n_quarantined"))
 
 
 @register("incremental_stream")
@@ -467,7 +464,7 @@ def incremental_stream(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     root = work_dir(spark, "stream")
     landing, ckpt, tables = f"{root}/landing", f"{root}/checkpoint", f"{root}/tables"
-    P.publish(spark, w.member_initial, tables, "member_dim", version=0)
+    P.publish(spark, w.member_initial, tables, "member_dim")
     changes = S.member_changes(w.t)
     cut = S.ts(S.EVENTS_CUT)
     changes.filter(F.col("change_ts") < cut).write.mode("append").parquet(landing)
@@ -553,9 +550,8 @@ def mart_suggestion(spark, sf_dir):
 def mart_cube(spark, sf_dir):
     """Revenue cube over year x trip status (all grouping sets)."""
     w = Warehouse(spark, sf_dir)
-    f = w.revenue_fact.join(w.calendar.select("calendar_key", "year"), "calendar_key")
-    return (f.cube("year", "trip_status")
-            .agg(F.count(F.lit(1)).alias("boardings"), F.sum("paid").cast("decimal(38,2)").alias("revenue"),
+    return (w.revenue_by_day("year").cube("year", "trip_status")
+            .agg(F.sum("boardings").alias("boardings"), F.sum("paid").cast("decimal(38,2)").alias("revenue"),
                  F.grouping_id().cast("int").alias("grouping_level")))
 
 
@@ -563,7 +559,7 @@ def mart_cube(spark, sf_dir):
 def mart_pivot(spark, sf_dir):
     """Revenue by year with one column per trip status."""
     w = Warehouse(spark, sf_dir)
-    f = w.revenue_fact.join(w.calendar.select("calendar_key", "year"), "calendar_key")
+    f = w.revenue_by_day("year")
     statuses = [K.STATUS_CANCELLED, K.STATUS_LATE, K.STATUS_DONE, K.STATUS_RUNNING]
     p = f.groupBy("year").pivot("trip_status", statuses).agg(F.sum("paid"))
     return p.select("year", *[F.coalesce(F.col(s), F.lit(0)).cast("decimal(38,2)")
@@ -699,9 +695,8 @@ def dim_subtype_left(spark, sf_dir):
 def mart_rollup(spark, sf_dir):
     """Revenue rolled up year > quarter > month, with subtotals."""
     w = Warehouse(spark, sf_dir)
-    f = w.revenue_fact.join(w.calendar.select("calendar_key", "year", "quarter", "month"), "calendar_key")
-    return (f.rollup("year", "quarter", "month")
-            .agg(F.count(F.lit(1)).alias("boardings"), F.sum("paid").cast("decimal(38,2)").alias("revenue"),
+    return (w.revenue_by_day("year", "quarter", "month").rollup("year", "quarter", "month")
+            .agg(F.sum("boardings").alias("boardings"), F.sum("paid").cast("decimal(38,2)").alias("revenue"),
                  F.grouping_id().cast("int").alias("grouping_level")))
 
 
@@ -787,7 +782,104 @@ def incremental_equals_full(spark, sf_dir):
     L.incremental(spark, sf_dir, root)
     fresh = Warehouse(spark, sf_dir)
     out = None
-    for n in L.DIMS + L.FACTS:
-        part = L.compare(n, P.read_current(spark, root, n), getattr(fresh, n))
+    for n in (*L.DIMS, "address_dim", *L.FACTS):
+        rebuilt = _address_dim(spark, fresh) if n == "address_dim" else getattr(fresh, n)
+        part = L.compare(n, P.read_current(spark, root, n), rebuilt)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ============================================================================ damaged inputs, so that checks find something
+@register("silver_rejects")
+def silver_rejects(spark, sf_dir):
+    """Populations beyond 32 bits stay; those without digits or
+    beyond 64 bits go to the rejects with a reason, none is lost."""
+    w = Warehouse(spark, sf_dir)
+    n = F.substring("code", 2, 10).cast("int")
+    damaged = staged_bronze(w.t).withColumn(
+        "population", F.when(n % 3 == 0, "n/a").when(n % 5 == 0, "9" * 25)
+        .otherwise(F.concat(F.lit("6,000,"), "population")))
+    good, bad = silver_and_rejects(damaged)
+    return (good.select("code", "population", F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(bad.select("code", F.lit(None).cast("bigint").alias("population"), "reject_reason")))
+
+
+def _damaged_members(w: Warehouse) -> DataFrame:
+    """Some first versions reopened and current again, some that end before they start, some rows twice."""
+    d, first, m = w.member_dim, F.col("version") == 1, F.col("member_id")
+    d = d.withColumn("is_current", F.when(first & (m % 7 == 0), "Y").otherwise(F.col("is_current"))).withColumn(
+        "valid_to", F.when(first & (m % 7 == 0), F.lit(None).cast("date"))
+        .when(first & (m % 11 == 0), F.date_sub("valid_from", 1)).otherwise(F.col("valid_to")))
+    return d.unionByName(d.filter(first & (m % 13 == 0)))
+
+
+@register("overlap_violations")
+def overlap_violations(spark, sf_dir):
+    """Q8/J12 on a dimension whose first versions were partly reopened: each
+    later version with the one that covers it."""
+    return Q.overlapping_validity(_damaged_members(Warehouse(spark, sf_dir)).distinct(), "member_id")
+
+
+@register("dq_violations")
+def dq_violations(spark, sf_dir):
+    """Q4/Q6/Q7/Q12/Q16-Q22 on damaged copies: how many rows each check finds."""
+    w = Warehouse(spark, sf_dir)
+    t, d = w.t, _damaged_members(w)
+    trips = w.trip_fact.withColumn("member_key", F.when(F.col("trip_id") % 17 == 0, "none").otherwise(F.col("member_key")))
+    silver = curated_lake(t).silver.withColumn("place_key", F.lower("place_key"))
+    recomputed = K.place_key(F.col("place_name"), F.col("region"))
+    orders = t.orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 19 == 0, "?").otherwise(F.col("o_orderstatus")))
+    keyless = t.events.withColumn("event_id", F.when(F.col("event_id") % 23 != 0, F.col("event_id")))
+    source = t.events.select("event_id")
+    closed = w.member_dim.withColumn("segment", F.when(F.col("member_id") % 29 == 0, S.CLOSED_SEGMENT).otherwise("OPEN"))
+    role = validity_join(w.t.orders, closed, "o_custkey", F.col("o_orderdate").cast("date"), "member_id")
+    childless = t.customer.select("c_custkey").join(
+        t.orders.filter(F.col("o_custkey") % 31 != 0).select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    return Q.counts({
+        "multiple_current": Q.multiple_current(d, "member_id"),
+        "current_flag_inconsistent": Q.current_flag_inconsistent(d, "member_id"),
+        "end_before_start": Q.end_before_start(d),
+        "duplicate_version": Q.duplicate_keys(d, ["member_id", "version"]),
+        "missing_from": Q.missing_from(source, keyless.select("event_id")),
+        "null_keys": Q.null_keys(keyless, ["event_id"]),
+        "orphans": Q.orphans(trips, "member_key", w.member_dim, "sk"),
+        "domain": Q.domain_violations(orders, "o_orderstatus", ["F", "O", "P"]),
+        "key_consistency": silver.filter(~F.col("place_key").eqNullSafe(recomputed)),
+        "role_rule": role.filter(F.col("v_segment") == S.CLOSED_SEGMENT),
+        "has_child": childless,
+    })
+
+
+@register("dq_fact_keys")
+def dq_fact_keys(spark, sf_dir):
+    """Q16/Q17 on the facts: rows without their dimension row, and repeated keys."""
+    w = Warehouse(spark, sf_dir)
+    rev, exp, sug, trip = w.revenue_fact, w.expense_fact, w.suggestion_fact, w.trip_fact
+    place = w.place_dim
+    return Q.counts({
+        "revenue.calendar": Q.orphans(rev, "calendar_key", w.calendar, "calendar_key"),
+        "revenue.customer": Q.orphans(rev, "customer_key", w.customer_dim, "customer_key"),
+        "revenue.member": Q.orphans(rev, "member_key", w.member_dim, "sk"),
+        "revenue.supplier": Q.orphans(rev, "supplier_key", w.supplier_dim, "supplier_key"),
+        "revenue.origin": Q.orphans(rev, "origin_place_key", place, "place_key"),
+        "revenue.destination": Q.orphans(rev, "destination_place_key", place, "place_key"),
+        "expense.calendar": Q.orphans(exp, "calendar_key", w.calendar, "calendar_key"),
+        "expense.member": Q.orphans(exp, "member_key", w.member_dim, "sk"),
+        "expense.customer": Q.orphans(exp, "customer_key", w.customer_dim, "customer_key"),
+        "suggestion.customer": Q.orphans(sug, "customer_key", w.customer_dim, "customer_key"),
+        "trip.start": Q.orphans(trip, "start_calendar_key", w.calendar, "calendar_key"),
+        "trip.end": Q.orphans(trip, "end_calendar_key", w.calendar, "calendar_key"),
+        "trip.key": Q.duplicate_keys(trip, ["trip_id"]),
+        "expense.key": Q.duplicate_keys(exp, ["source_id", "expense_type"]),
+        "suggestion.key": Q.duplicate_keys(sug, ["suggestion_id"]),
+    })
+
+
+@register("scd2_newcomers")
+def scd2_newcomers(spark, sf_dir):
+    """Every third customer is missing from the initial load and enters by
+    the feed, with its name and place from the source."""
+    w = Warehouse(spark, sf_dir)
+    known = w.member_initial.filter(F.col("member_id") % 3 != 0)
+    return scd2_history(known, S.member_changes(w.t), S.MEMBER, "change_ts", "seq", F.to_date("change_ts"),
+                        w.member_initial.select("member_id", *S.MEMBER.type1))

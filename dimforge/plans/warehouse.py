@@ -175,6 +175,14 @@ class Warehouse:
     def revenue_fact(self) -> DataFrame:
         return self.revenue_fact_for(self.boardings, self.trips)
 
+    def revenue_by_day(self, *attributes: str) -> DataFrame:
+        """Boardings and revenue per day and trip status, with calendar
+        attributes: the fact is summed (map-side first) before it meets the
+        calendar, so no day's boardings are shuffled."""
+        sums = self.revenue_fact.groupBy("calendar_key", "trip_status").agg(
+            F.count(F.lit(1)).alias("boardings"), F.sum("paid").alias("paid"))
+        return sums.join(self.calendar.select("calendar_key", *attributes), "calendar_key")
+
     def trip_fact_for(self, trips: DataFrame) -> DataFrame:
         j = validity_join(trips, self.member_dim.select("member_id", "sk", "valid_from", "valid_to"),
                           "o_custkey", F.col("o_orderdate").cast("date"), "member_id")

@@ -7,7 +7,6 @@ unset (unit tests, local runs) do we create a directory of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -51,13 +50,16 @@ def get_session(master: str | None = None, app: str = "dimforge",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Falls back to the context's checkpoint dir, and only if neither is set
-    creates a private one (tests / local runs) and registers it.
+    Falls back to the context's checkpoint dir.  Only where neither is set and
+    the master is local (tests), creates a private one and registers it; on a
+    cluster a folder of one machine would lose data, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = tempfile.mkdtemp(prefix="dimforge-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -67,8 +69,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/dimforge-work/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark)}/dimforge-work/{name}-{uuid.uuid4().hex[:12]}"

@@ -7,8 +7,6 @@ filters into the scan, so nothing beyond those columns is read.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -20,23 +18,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Opened inputs per session: a parquet DataFrame is only a plan over a file
-# listing and a schema (no data), so queries of one session share it instead
-# of listing files and reading footers again.  The inputs are read-only.
-_OPENED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    path = table_path(sf_dir, name)
-    opened = _OPENED.setdefault(spark, {})
-    if path not in opened:
-        opened[path] = spark.read.parquet(path)
-    df = opened[path]
+    """Opens the table anew, so that files which landed since are seen."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 
 class Tables:
-    """Lazy accessor: ``t.orders`` reads ``orders.parquet`` on first use."""
+    """Lazy accessor: ``t.orders`` opens ``orders.parquet`` on first use; one
+    object is the snapshot of one run."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, filters: dict | None = None):
         """``filters``: table -> predicate Column, e.g. the state of the

@@ -17,6 +17,7 @@ def ingest_landing_once(spark: SparkSession, landing_glob: str, columns: list[st
                         checkpoint: str, ingested_at) -> None:
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     raw = (spark.readStream.schema(schema).option("header", True).option("encoding", "UTF-8")
+           .option("enforceSchema", False)
            .csv(landing_glob))
     stamped = raw.select("*",
                          F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("_source_file"),

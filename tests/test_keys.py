@@ -32,6 +32,25 @@ def test_minutes_round_not_truncate(spark):
     assert df.select(K.minutes_between("s", "e")).first()[0] == 70   # 69.7 min
 
 
+def test_minutes_are_exact_and_local(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2025-01-01 00:00:00.6' AS s, TIMESTAMP_NTZ'2025-01-01 00:00:30.5' AS e")
+    assert df.select(K.minutes_between("s", "e")).first()[0] == 0     # 29.9 s
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # the clock changes that night
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2025-03-30 01:00:00' AS s, TIMESTAMP_NTZ'2025-03-30 04:00:00' AS e")
+        assert df.select(K.minutes_between("s", "e")).first()[0] == 180
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+
+
+def test_surrogate_keys_tell_parts_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("a\\", "b"), ("a", "\\N"), ("a", "")],
+                               "x string, y string")
+    keys = [r[0] for r in df.select(K.surrogate_key("n", "x", "y")).collect()]
+    assert len(set(keys)) == len(keys)
+
+
 def test_status_precedence(spark):
     df = spark.createDataFrame([(True, True, None), (False, True, 1), (False, False, 1), (False, False, None)],
                                "c boolean, d boolean, e int")

@@ -89,17 +89,21 @@ def test_overlap_check_equals_pairwise(spark):
     rows = [r for r in rows if r[4] is None or r[4] >= r[3]]
     df = spark.createDataFrame(rows, DIM_SCHEMA)
     far = d("9999-12-31")
-    bad_keys = set()
-    by_key = {}
-    for r in rows:
-        by_key.setdefault(r[1], []).append(r)
-    for k, vs in by_key.items():
-        for a in vs:
-            for b in vs:
-                if b[2] > a[2] and b[3] < (a[4] or far) and a[3] < (b[4] or far):
-                    bad_keys.add(k)
-    got = {r.id for r in Q.overlapping_validity(df, "id").collect()}
-    assert got == bad_keys
+    want = set()
+    for b in rows:
+        covers = [a for a in rows if a[1] == b[1] and (a[3], a[2]) < (b[3], b[2])
+                  and b[3] < (a[4] or far) and a[3] < (b[4] or far)]
+        if covers:
+            want.add((b[1], max(covers, key=lambda a: (a[4] or far, a[2]))[2], b[2]))
+    got = {tuple(r) for r in Q.overlapping_validity(df, "id").collect()}
+    assert got == want and want
+
+
+def test_overlap_across_a_closed_version(spark):
+    rows = [("a", 1, 1, d("2025-01-01"), d("2025-12-01"), "N"), ("b", 1, 2, d("2025-02-01"), d("2025-03-01"), "N"),
+            ("c", 1, 3, d("2025-05-01"), d("2025-06-01"), "N")]
+    got = sorted(tuple(r) for r in Q.overlapping_validity(spark.createDataFrame(rows, DIM_SCHEMA), "id").collect())
+    assert got == [(1, 1, 2), (1, 1, 3)]
 
 
 def test_dedup_forms_agree(spark):
