@@ -120,9 +120,10 @@ def mix(documents: DataFrame, weights: DataFrame | None, total: int | None = Non
     without a row, or all if it is None, weigh 1.  ``total`` tokens (words) are
     wanted; None asks for as many as there are.  A leaf takes documents of an
     epoch in seeded order up to the last that fits its grant wholly; at equal
-    places the smaller (doc_id, n_tokens) goes first.  Null text has no token and
-    goes with a leaf's whole epochs; null keys are the leaf ``none``; rows that
-    are equal in all of these are taken alike.  Other columns are ignored.
+    places the smaller (doc_id, n_tokens) goes first.  Null and wordless texts
+    have no token and go with a leaf's whole epochs only; null keys are the leaf
+    ``none``; rows that are equal in all of these are taken alike.  Other columns
+    are ignored.
     """
     keys = list(LEVELS)
     docs = pick(documents, doc_id="long", text="string", domain="string", lang="string", source="string").select(
@@ -159,7 +160,56 @@ def mix(documents: DataFrame, weights: DataFrame | None, total: int | None = Non
     limits = second.join(inside, keys, "left").select(*keys, F.shiftleft("cell", last).alias("cell_start"), "end")
     taken = placed.join(limits, keys, "left")
     this = F.struct("place", "doc_id", "n_tokens")
-    partial = F.col("cell_start").isNotNull() & ((F.col("place") < F.col("cell_start"))
+    partial = (F.col("n_tokens") > 0) & F.col("cell_start").isNotNull() & ((F.col("place") < F.col("cell_start"))
                                                  | (F.col("end").isNotNull() & (this <= F.col("end"))))
     epochs = F.col("whole") + F.coalesce(partial, F.lit(False)).cast("long")
     return taken.withColumn("epochs", epochs).where("epochs > 0").select("doc_id", *keys, "n_tokens", "epochs")
+
+
+def _share_sql(source: str, parents: str, own: str) -> str:
+    order = f"PARTITION BY {parents} ORDER BY most::DOUBLE / weight, {own}"
+    return f"""
+  SELECT * EXCLUDE (part, taken), part + (CASE WHEN taken <= budget - sum(part) OVER (PARTITION BY {parents})
+                                                AND part < most THEN 1 ELSE 0 END) AS granted
+  FROM (SELECT *, row_number() OVER (PARTITION BY {parents} ORDER BY part >= most, {own}) AS taken
+  FROM (SELECT * EXCLUDE (filled), CASE WHEN filled THEN most ELSE
+          ((budget - sum(CASE WHEN filled THEN most ELSE 0 END) OVER (PARTITION BY {parents}))::HUGEINT * weight)
+          // nullif(sum(CASE WHEN filled THEN 0 ELSE weight END) OVER (PARTITION BY {parents}), 0) END AS part
+  FROM (SELECT * EXCLUDE (fits), min(fits) OVER ({order} ROWS UNBOUNDED PRECEDING) = 1 AS filled
+  FROM (SELECT *, (most::HUGEINT * sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+          <= greatest(budget - coalesce(sum(most) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)
+             * weight)::INTEGER AS fits
+  FROM ({source})))))"""
+
+
+def mix_sql(weight: str, seed: int = 7, max_epochs: int = 2) -> str:
+    """The mix of ``documents`` as SQL, every leaf's prefix by one running sum; ``weight`` is an expression of a leaf."""
+    levels, given = [], "SELECT least((SELECT sum(tokens) FROM leaves), (SELECT sum(most) FROM leaves)) AS budget"
+    for depth, own in enumerate(LEVELS):
+        above, keys = ", ".join(LEVELS[:depth]), ", ".join(LEVELS[:depth + 1])
+        level = f"SELECT {keys}, sum(weight) AS weight, sum(most) AS most FROM leaves GROUP BY {keys}"
+        source = (f"SELECT * FROM ({level}) CROSS JOIN ({given})" if not depth else
+                  f"SELECT * FROM ({level}) JOIN (SELECT {above}, granted AS budget FROM level{depth - 1}) USING ({above})")
+        levels.append(f"level{depth} AS ({_share_sql(source, above or '1', own)})")
+    keys = ", ".join(LEVELS)
+    return f"""
+WITH docs AS (
+  SELECT doc_id, 'd' || left(md5(coalesce(source, 'none')), 1) AS domain, coalesce(lang, 'none') AS lang,
+         coalesce(source, 'none') AS source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> ''))::BIGINT AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT {keys}, sum(n_tokens) AS tokens, sum(n_tokens) * {max_epochs} AS most, {weight} AS weight FROM docs GROUP BY {keys}
+), {", ".join(levels)}, plan AS (
+  SELECT {keys}, CASE WHEN tokens > 0 THEN granted // tokens ELSE 1 END AS whole,
+         CASE WHEN tokens > 0 THEN granted % tokens ELSE 0 END AS need
+  FROM leaves JOIN (SELECT {keys}, granted FROM level2) USING ({keys})
+), placed AS (
+  SELECT *, ('0x' || left(md5(concat_ws('|', {seed}, whole, source, doc_id)), 15))::BIGINT AS place
+  FROM docs JOIN plan USING ({keys})
+), taken AS (
+  SELECT *, whole + (n_tokens > 0 AND sum(n_tokens) OVER (PARTITION BY {keys} ORDER BY place, doc_id NULLS FIRST, n_tokens
+                                                          ROWS UNBOUNDED PRECEDING) <= need)::BIGINT AS epochs FROM placed
+)
+SELECT doc_id, {keys}, n_tokens, epochs::BIGINT AS epochs FROM taken WHERE epochs > 0
+"""

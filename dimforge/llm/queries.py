@@ -77,5 +77,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_html_tree, op2_mixing, op3_signature_join, op4_line_rules, op5_pii_crf,
                                    op6_suffix_dedup, op7_packing, op8_langid, op9_topk, op10_chat)}
-ORACLE: dict[str, str] = {"op4_line_rules": line_rules.LINE_FREQUENCY_SQL, "op9_topk": topk.TOP_K_SQL,
+_WEIGHT = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in LANG_WEIGHTS.items()) + " ELSE 1 END"
+# The other operators use a trained model or the tokenizer; tests/llm compares them with plain versions.
+ORACLE: dict[str, str] = {"op2_mixing": mixing.mix_sql(_WEIGHT), "op3_signature_join": signature_join.NEAR_DUPLICATES_SQL,
+                          "op4_line_rules": line_rules.LINE_FREQUENCY_SQL,
+                          "op6_suffix_dedup": suffix_dedup.REMOVE_REPEATS_SQL, "op9_topk": topk.TOP_K_SQL,
                           "op10_chat": chat.DIGEST_SQL}

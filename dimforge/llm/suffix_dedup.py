@@ -357,3 +357,28 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     of_doc = repeats.groupBy("doc").agg(F.collect_list("meta").alias("metas"))  # at most a document's own runs
     return (packed.join(of_doc, "doc", "left").select("doc", "null_id", "packed", "metas")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+
+
+REMOVE_REPEATS_SQL = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS h FROM documents
+), p AS (
+  SELECT doc_id, p, hex(array_slice(h, p + 1, p + 1)) AS byte,
+         CASE WHEN p + 100 <= octet_length(h) THEN md5_number(array_slice(h, p + 1, p + 100)) END AS string
+  FROM (SELECT doc_id, h, unnest(range(octet_length(h))) AS p FROM d)
+), r AS (
+  SELECT doc_id, p, byte,
+         string IS NOT NULL AND row_number() OVER (PARTITION BY string ORDER BY doc_id, p) > 1 AS repeat FROM p
+), c AS (
+  SELECT doc_id, p, byte, bool_or(repeat) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone
+  FROM r
+), e AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM c
+), g AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+         coalesce(string_agg(byte, '' ORDER BY p) FILTER (NOT gone), '') AS rest FROM e GROUP BY doc_id
+)
+SELECT doc_id, octet_length(h)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
