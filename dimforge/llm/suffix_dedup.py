@@ -17,7 +17,8 @@ same distance, which is the property needed, and one suffix in 39 is kept.
    their next 100 bytes, and by what stands before them.  A string at distance
    o before its sample ties with another exactly if o bytes before and 100 - o
    bytes behind the sample tie, which the ranks and common prefixes of the
-   sample decide without comparing the strings themselves.
+   sample decide without comparing the strings themselves.  Of a bucket with
+   very many runs, parts are sorted, and the strings left of each compared.
 3. Bytes covered by repeated strings are removed, a document at a time.
 """
 
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.llm.shared import batch_of, pick, store
@@ -41,6 +42,7 @@ REACH = SPAN - GRAM        # largest distance of a string to its sample
 CHUNK = 1_000_000          # bytes of text at once
 SEGMENT = 4_000_000        # longer documents are read in overlapping pieces
 SORT_ROWS = 20_000         # runs sorted together at least (whole buckets)
+BUCKET_RUNS = 50_000       # of one bucket sorted in one task
 NO_ID = (1 << 63) - 1      # the place of documents without doc_id: after all others
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -208,20 +210,21 @@ def _pack_documents(batches):
             yield batch_of(schema, part, pc.equal(part, NO_ID), [pack(x.encode()) for x in text])
 
 
-_CONTEXT = pa.schema([("bucket", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64()), ("bytes", pa.binary())])
+_CONTEXT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("parts", pa.int64()), ("doc", pa.int64()),
+                      ("meta", pa.int64()), ("bytes", pa.binary())])
 
 
 def _cut_contexts(batches):
-    """(doc, packed, buckets, metas) -> the bytes of each run."""
+    """(doc, packed, buckets, parts, all parts, metas) -> the bytes of each run."""
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for doc, packed, buckets, metas in zip(*(batch.column(i) for i in range(4)), strict=True):
+        for doc, packed, *runs in zip(*(batch.column(i) for i in range(6)), strict=True):
             text = unpack(packed.as_py())
             tag = int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "little")
-            meta = metas.values.to_numpy()
+            bucket, part, parts, meta = (x.values.to_numpy() for x in runs)
             mine = np.flatnonzero(((meta >> 16) & 0xFFFF) == tag)
-            meta, bucket = meta[mine], buckets.values.to_numpy()[mine]
-            yield batch_of(_CONTEXT, bucket, np.full(len(meta), doc.as_py()), meta,
+            meta = meta[mine]
+            yield batch_of(_CONTEXT, bucket[mine], part[mine], parts[mine], np.full(len(meta), doc.as_py()), meta,
                            [text[f:g + SPAN] for f, g in zip(_first(meta).tolist(), _last(meta).tolist(), strict=True)])
 
 
@@ -271,38 +274,56 @@ def repeated_starts(bucket: np.ndarray, meta: np.ndarray, contexts: list[bytes])
     return np.concatenate(rows), np.concatenate(distances)
 
 
-def _sort_buckets(batches):
-    """Contexts sorted by bucket, doc, meta -> runs of repeated strings (doc, meta)."""
-    schema = pa.schema([("doc", pa.int64()), ("meta", pa.int64())])
-
-    def solve(table):
-        bucket, doc, meta = (table[c].to_numpy() for c in ("bucket", "doc", "meta"))
-        row, o = repeated_starts(bucket, meta, table["bytes"].to_pylist())
-        start = _first(meta[row]) + ((meta[row] >> 8) & 255) - o
-        order = np.lexsort((start, row))
-        row, start = row[order], start[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(row)) - 1
-        first, last = start[begin], start[end] if len(row) else start
-        return batch_of(schema, doc[row[begin]], (first << 32) | (meta[row[begin]] & 0xFFFF0000) | ((last - first) << 8))
+_SOLVED = pa.schema([("doc", pa.int64()), ("meta", pa.int64()), ("bucket", pa.int64()), ("string", pa.binary())])
+
+
+def _solve(table: pa.Table, group: np.ndarray):
+    """Runs of repeated strings; of buckets in several parts also the other strings, to be compared between parts."""
+    bucket, parts, doc, meta = (table[c].to_numpy() for c in ("bucket", "parts", "doc", "meta"))
+    contexts = table["bytes"].to_pylist()
+    row, o = repeated_starts(group, meta, contexts)
+    start = _first(meta[row]) + ((meta[row] >> 8) & 255) - o
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(row)) - 1
+    first, last = start[begin], start[end] if len(row) else start
+    none = pa.nulls(len(begin))
+    yield batch_of(_SOLVED, doc[row[begin]], (first << 32) | (meta[row[begin]] & 0xFFFF0000) | ((last - first) << 8),
+                   none.cast(pa.int64()), none.cast(pa.binary()))
+    known = set(zip(row.tolist(), start.tolist(), strict=True)) if (parts > 1).any() else set()
+    for r in np.flatnonzero(parts > 1).tolist():
+        begin = int(_first(meta[r]))
+        at = [x for x in range(begin, int(_last(meta[r])) + 1) if (r, x) not in known]
+        strings = [hashlib.blake2b(contexts[r][x - begin:x - begin + SPAN], digest_size=16).digest() for x in at]
+        yield batch_of(_SOLVED, [doc[r]] * len(at), [(x << 32) | int(meta[r] & 0xFFFF0000) for x in at],
+                       [bucket[r]] * len(at), strings)
+
 
+def _sort_buckets(batches):
+    """Contexts sorted by bucket, part, doc, meta; whole parts of buckets are solved together."""
     held = []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
+        if batch.num_rows:
+            held.append(batch)
         if sum(x.num_rows for x in held) < SORT_ROWS:
             continue
         table = pa.Table.from_batches(held)
-        bucket = table["bucket"].to_numpy()
-        whole = int(np.searchsorted(bucket, bucket[-1]))
+        group = _numbered(table)
+        whole = int(np.searchsorted(group, group[-1]))
         if whole:
-            yield solve(table.slice(0, whole))
+            yield from _solve(table.slice(0, whole), group[:whole])
         held = table.slice(whole).to_batches()
     if held:
-        yield solve(pa.Table.from_batches(held))
+        table = pa.Table.from_batches(held)
+        yield from _solve(table, _numbered(table))
+
+
+def _numbered(table: pa.Table) -> np.ndarray:
+    bucket, part = table["bucket"].to_numpy(), table["part"].to_numpy()
+    return np.append(0, np.cumsum((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
 
 
 def _remove(batches):
@@ -347,13 +368,22 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     found = store(runs.repartition(place).sortWithinPartitions("bucket", "run", "doc", "meta")
                   .mapInArrow(_sort_runs, "bucket long, doc long, meta long"), "runs")
     packed = docs.mapInArrow(_pack_documents, "doc long, null_id boolean, packed binary")
-    open_runs = (found.where("bucket is not null").groupBy("doc")
-                 .agg(F.collect_list(F.struct("bucket", "meta")).alias("runs")))  # at most a document's own runs
-    contexts = (packed.join(open_runs, "doc").select("doc", "packed", "runs.bucket", "runs.meta")
-                .mapInArrow(_cut_contexts, "bucket long, doc long, meta long, bytes binary"))
-    sorted_in = (contexts.repartition("bucket").sortWithinPartitions("bucket", "doc", "meta")
-                 .mapInArrow(_sort_buckets, "doc long, meta long"))
-    repeats = found.where("bucket is null").select("doc", "meta").unionByName(sorted_in)
+    todo = found.where("bucket is not null")
+    # a bucket of very many runs is sorted in parts, and the strings of its parts are compared after that
+    large = (todo.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_RUNS).alias("parts")).where("parts > 1"))
+    todo = (todo.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
+            .withColumn("part", F.pmod(F.xxhash64("doc", "meta"), F.col("parts"))))
+    open_runs = (todo.groupBy("doc")
+                 .agg(F.collect_list(F.struct("bucket", "part", "parts", "meta")).alias("runs")))  # a document's own runs
+    contexts = (packed.join(open_runs, "doc").select("doc", "packed", "runs.bucket", "runs.part", "runs.parts", "runs.meta")
+                .mapInArrow(_cut_contexts, "bucket long, part long, parts long, doc long, meta long, bytes binary"))
+    solved = store(contexts.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "doc", "meta")
+                   .mapInArrow(_sort_buckets, "doc long, meta long, bucket long, string binary"), "solved")
+    same = Window.partitionBy("bucket", "string").orderBy("doc", "meta")  # a row for each part at most
+    between = (solved.where("string is not null").withColumn("r", F.row_number().over(same)).where("r > 1")
+               .select("doc", "meta"))
+    repeats = (found.where("bucket is null").unionByName(solved.where("string is null"), allowMissingColumns=True)
+               .select("doc", "meta").unionByName(between))
     of_doc = repeats.groupBy("doc").agg(F.collect_list("meta").alias("metas"))  # at most a document's own runs
     return (packed.join(of_doc, "doc", "left").select("doc", "null_id", "packed", "metas")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))

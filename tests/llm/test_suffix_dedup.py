@@ -52,6 +52,11 @@ def test_buckets_sorted_a_few_rows_at_a_time(spark, monkeypatch):
     check(spark, pieces(6))
 
 
+def test_large_buckets_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_RUNS", 3)
+    check(spark, pieces(7))
+
+
 def test_nulls_empty_repeats_and_clashing_columns(spark):
     s = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(150))
     rows = [(1, None), (2, ""), (3, s), (4, s), (4, s), (None, s), (None, "short")]
