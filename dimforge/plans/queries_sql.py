@@ -281,14 +281,17 @@ SELECT f.order_id, f.line_no, f.paid_at, f.paid, f.list_price, f.discount, f.tri
        c.year, c.full_date, c.month, c.quarter, cu.customer_name, cu.segment AS customer_segment,
        m.member_name, m.version AS member_version, su.supplier_name,
        ao.place_name AS origin_place, ao.population AS origin_population, ao.size_band AS origin_band,
-       pd.place_name AS destination_place
+       pd.place_name AS destination_place, dp.population AS destination_population,
+       """ + O._band_sql("dp.population") + """ AS destination_band
 FROM revenue_fact f
 JOIN calendar c ON c.calendar_key = f.calendar_key
 JOIN customer_dim cu ON cu.customer_key = f.customer_key
 JOIN member_dim m ON m.sk = f.member_key
 JOIN supplier_dim su ON su.supplier_key = f.supplier_key
 JOIN address_dim ao ON ao.address_key = f.origin_address_key
-JOIN place_dim pd ON pd.place_key = f.destination_place_key""",
+JOIN place_dim pd ON pd.place_key = f.destination_place_key
+LEFT JOIN (SELECT place_name, region, max(population) AS population FROM address_dim GROUP BY place_name, region) dp
+  ON dp.place_name = lower(pd.place_name) AND dp.region = pd.region""",
                         "revenue_fact", "calendar", "customer_dim", "supplier_dim", "address_dim", "place_dim"),
 
     "mart_expense": sql("""

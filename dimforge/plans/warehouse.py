@@ -312,24 +312,37 @@ class Warehouse:
             K.rate_per_100k(value, population).alias("order_value_per_100k"))
 
     def revenue_mart(self, address_dim: DataFrame) -> DataFrame:
-        f = self.revenue_fact
-        c = self.calendar.select("calendar_key", "year", "full_date", "month", "quarter")
+        """Wide revenue view.  What belongs to the order or its customer (member
+        version, customer, origin address) is attached at order grain, what
+        belongs to the supplier (name, destination place) at supplier grain, and
+        calendar attributes come from the date itself; boardings are shuffled
+        for the order and for the supplier only."""
+        members = self.member_dim.select("member_id", "member_name", "version", "valid_from", "valid_to")
         cu = self.customer_dim.select("customer_key", "customer_name", F.col("segment").alias("customer_segment"))
-        m = self.member_dim.select(F.col("sk").alias("member_key"), "member_name",
-                                   F.col("version").alias("member_version"))
-        su = self.supplier_dim.select("supplier_key", "supplier_name")
-        ao = address_dim.select(F.col("address_key").alias("origin_address_key"),
-                                F.col("place_name").alias("origin_place"),
-                                F.col("population").alias("origin_population"),
-                                F.col("size_band").alias("origin_band"))
-        pd = self.place_dim.select(F.col("place_key").alias("destination_place_key"),
-                                   F.col("place_name").alias("destination_place"))
-        # supplier first: the fact leaves its own supplier join hash
-        # partitioned on that key, so this join adds no shuffle of the fact;
-        # the small calendar and place tables go last (broadcast by size)
-        j = (f.join(su, "supplier_key").join(cu, "customer_key").join(ao, "origin_address_key")
-             .join(m, "member_key").join(c, "calendar_key").join(pd, "destination_place_key"))
-        return j.select("order_id", "line_no", "paid_at", "paid", "list_price", "discount", "trip_status",
-                        "year", "full_date", "month", "quarter", "customer_name", "customer_segment",
-                        "member_name", "member_version", "supplier_name", "origin_place",
-                        "origin_population", "origin_band", "destination_place")
+        ao = address_dim.select("address_key", F.col("place_name").alias("origin_place"),
+                                F.col("population").alias("origin_population"), F.col("size_band").alias("origin_band"))
+        o = validity_join(self.trips.select("o_orderkey", "o_custkey", "o_orderdate", "trip_status"), members,
+                          "o_custkey", F.col("o_orderdate").cast("date"), "member_id")
+        o = (o.join(cu, F.col("o_custkey") == F.col("customer_key"))
+             .join(ao, F.col("o_custkey") == F.col("address_key"))
+             .drop("o_custkey", "o_orderdate", "customer_key", "address_key"))
+        populations = (address_dim.groupBy(F.col("place_name").alias("_name"), F.col("region").alias("_region"))
+                       .agg(F.max("population").alias("destination_population")))
+        places = (self.place_dim.join(populations, (F.lower("place_name") == F.col("_name"))
+                                      & (F.col("region") == F.col("_region")), "left")
+                  .select("place_key", F.col("place_name").alias("destination_place"), "destination_population"))
+        su = (self.supplier_dim.select("supplier_key", "supplier_name", "place_id")
+              .join(places, F.col("place_id") == F.col("place_key")).drop("place_id", "place_key"))
+        j = (self.boardings.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(su, F.col("l_suppkey") == F.col("supplier_key")))
+        day = F.col("l_shipdate").cast("date")
+        return j.select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+            F.col("l_shipdate").alias("paid_at"), "paid", "list_price",
+            (F.col("list_price") - F.col("paid")).cast("decimal(18,2)").alias("discount"), "trip_status",
+            F.year(day).alias("year"), day.alias("full_date"), K.month_text(day).alias("month"),
+            F.quarter(day).alias("quarter"), "customer_name", "customer_segment",
+            F.col("v_member_name").alias("member_name"), F.col("v_version").alias("member_version"), "supplier_name",
+            "origin_place", "origin_population", "origin_band", "destination_place", "destination_population",
+            K.size_band("destination_population").alias("destination_band"))
+
