@@ -24,6 +24,7 @@ from dimforge.llm.shingles import text_chunks
 ORDER = 4
 SAMPLE_DOCUMENTS = 1000    # per language, the lowest hashes of doc_id; one in five of them calibrates
 SAMPLE_CHARACTERS = 5000   # of each
+MOST_LANGUAGES = 500       # learned; those with most documents in the sample, then by name
 MODEL_GRAMS = 300_000      # per language, the most frequent
 SLOTS_BITS = 19            # of the table of n-grams scored before, per task
 REJECTED_SHARE = 0.005     # of calibration documents of a language fall behind its limit
@@ -199,8 +200,13 @@ def train(labelled: DataFrame):
     keyed = rows.withColumn("h", F.xxhash64("doc_id"))
     limit = (keyed.select("lang", "h")
              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-             .where(F.col("r") <= SAMPLE_DOCUMENTS).groupBy("lang").agg(F.max("h").alias("most")))
-    sample = (keyed.join(limit, "lang").where("h <= most")
+             .where(F.col("r") <= SAMPLE_DOCUMENTS).groupBy("lang").agg(F.max("h").alias("most"), F.count("h").alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    if not limit:
+        return [], [], 1.0, np.zeros(0)
+    # a constant of a bounded number of languages, so that no text is moved but the sample's
+    most = F.create_map(*(F.lit(x) for r in limit for x in (r["lang"], r["most"])))
+    sample = (keyed.where(F.col("h") <= most[F.col("lang")])
               .select("lang", F.substring("text", 1, SAMPLE_CHARACTERS).alias("text"), F.pmod("h", F.lit(5)).alias("fold")))
     counted = (sample.where("fold <> 0").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
