@@ -1,6 +1,6 @@
 """Change capture from snapshots, audit log, typed deltas, quarantine (K1-K4).
 
-The reference captured changes with per-row database triggers; on a lake the
+Databases capture changes with per-row triggers; on a lake the
 same information comes from diffing two snapshots on the primary key (one
 full outer join) or from an upstream change feed.
 """
