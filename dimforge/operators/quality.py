@@ -26,6 +26,23 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
+def key_summary(named: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """``(name, n_rows)``: for each named table its keys that occur more than
+    once (``<name>.duplicate_keys``) and its rows with a NULL in the key
+    (``<name>.null_keys``), both from one aggregate."""
+    out = None
+    for name, (df, keys) in named.items():
+        null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select("n", null.alias("is_null"))
+        both = per_key.agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+                           F.coalesce(F.sum(F.when(F.col("is_null"), F.col("n"))), F.lit(0)).alias("null_keys"))
+        part = both.select(F.explode(F.array(*[
+            F.struct(F.lit(f"{name}.{c}").alias("name"), F.col(c).cast("bigint").alias("n_rows"))
+            for c in both.columns])).alias("c")).select("c.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent (referential check)."""
     p = parent.select(F.col(pk).alias(fk)).distinct()

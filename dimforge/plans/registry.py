@@ -732,14 +732,10 @@ def dq_pk_summary(spark, sf_dir):
            "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
            "labels": ["doc_id"], "benchmark": ["item_id"], "pages": ["page_id"],
            "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"]}
-    named = {}
-    for name, keys in pks.items():
-        df = getattr(t, name).select(*keys)
-        named[f"{name}.duplicate_keys"] = Q.duplicate_keys(df, keys)
-        named[f"{name}.null_keys"] = Q.null_keys(df, keys)
-    named["member_dim.duplicate_keys"] = Q.duplicate_keys(w.member_dim, ["member_id", "version"])
-    named["calendar.duplicate_keys"] = Q.duplicate_keys(w.calendar, ["calendar_key"])
-    return Q.counts(named)
+    tables = Q.key_summary({name: (getattr(t, name).select(*keys), keys) for name, keys in pks.items()})
+    return tables.unionByName(Q.counts({
+        "member_dim.duplicate_keys": Q.duplicate_keys(w.member_dim, ["member_id", "version"]),
+        "calendar.duplicate_keys": Q.duplicate_keys(w.calendar, ["calendar_key"])}))
 
 
 @register("late_change_quarantine")
