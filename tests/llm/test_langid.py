@@ -78,3 +78,11 @@ def test_nothing_learned_and_empty_table(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in g.identify(df).collect()] == [g.UNKNOWN]
     assert g.identify(df.limit(0)).collect() == []
+
+
+def test_held_out_accuracy_on_the_small_tables(spark):
+    from tests.conftest import SF_SMALL
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    both = g.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null")
+    assert both.where("lang_pred = lang").count() >= 0.95 * both.count() > 0
