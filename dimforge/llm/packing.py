@@ -25,7 +25,7 @@ from dimforge.llm.shingles import byte_values, hash_runs, text_bytes, text_chunk
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 1_500_000    # words whose ids a Python worker remembers at once
+CACHE_WORDS = 800_000      # words whose ids a Python worker remembers at once
 JOINED_WORDS = 64
 RANKED_ROWS = 200_000      # rows of one length numbered in one task, about
 

@@ -34,7 +34,7 @@ def byte_values(fold: bool = True) -> np.ndarray:
     return _mix((lower + np.uint64(1)) * _BASE) | np.uint64(1)
 
 
-def text_chunks(column: pa.Array, most_bytes: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def text_chunks(column: pa.Array, most_bytes: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most_bytes`` of text each (one row at least)."""
     size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     start = 0
