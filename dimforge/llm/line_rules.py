@@ -122,6 +122,7 @@ def boilerplate(documents: DataFrame) -> DataFrame:
             .select("doc_id", "text_id", "host", "place", "x.line", "x.words",
                     F.when(F.col("x.line") != F.get("lowest", F.lit(0)), F.get("lowest", F.lit(0)))
                     .otherwise(F.coalesce(F.get("lowest", F.lit(1)), "x.line")).alias("other")))
+    each = store(each, "lines")  # read twice: to count, and to find what is to go
     counted = (each.groupBy("host", "line").agg(F.count_distinct("other").alias("documents"))
                .where(F.col("documents") > LINE_DOCUMENTS))
     hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
