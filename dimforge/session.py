@@ -58,7 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = tempfile.mkdtemp(prefix="dimforge-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
