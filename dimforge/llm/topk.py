@@ -64,13 +64,19 @@ def term_at_a_time(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray,
     out = []
     order = np.argsort(ids, kind="stable")
     ids, postings = ids[order], postings[:, order]
+    # the narrowest integers that no score can leave
+    largest = int(np.abs(queries).max(initial=0)) * int(np.abs(postings).max(initial=0)) * max(1, len(queries))
+    kind = np.int32 if largest < 1 << 31 else np.int64
+    queries, postings = queries.astype(kind), np.ascontiguousarray(postings, dtype=kind)
+    weighted = np.empty(len(ids), kind)
     for q, query_id in enumerate(query_ids.tolist()):
         row = queries[:, q]
         terms = np.flatnonzero(row)
         terms = terms[terms < len(postings)]
-        score = np.zeros(len(ids), np.int64)
+        score = np.zeros(len(ids), kind)
         for t in terms.tolist():
-            score += row[t] * postings[t]
+            np.multiply(postings[t], row[t], out=weighted)
+            score += weighted
         other = np.flatnonzero(ids != query_id)
         if len(other) > k:
             mine = score[other]

@@ -48,6 +48,11 @@ def test_one_block_and_few_candidates(spark):
     assert result(spark, rows, [0, 1], 9) == plain(single(rows), [0, 1], 9)
 
 
+def test_scores_beyond_32_bits(spark):
+    rows = [(i, [float(1000 + i), 2000.0, -500.0]) for i in range(8)]
+    assert result(spark, rows, [0, 3], 3) == plain(rows, [0, 3], 3)
+
+
 def test_many_ties_go_to_the_smaller_id(spark):
     rows = [(i, [0.5, 0.5]) for i in range(40)]
     assert result(spark, rows, [0, 39], 3) == plain(rows, [0, 39], 3)
