@@ -2,7 +2,7 @@
 
 Lines are normalised (white space runs to one space, trimmed, lower case) and
 hashed.  A line's documents on one host are counted; copies of a document count
-once, since a document is told apart by the lowest other line hash it has.  A
+once, since a document is told apart by a hash of all its distinct lines.  A
 line in more documents than both limits allow is boilerplate on that host and is
 removed.  A document is rejected if its own text fails the base rules, or if too
 little is left of it.
@@ -116,14 +116,12 @@ def boilerplate(documents: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     hashed = F.transform(lines, lambda x: F.struct(_line_hash(x).alias("line"), F.size(words_of(x)).alias("words")))
     of_doc = docs.select("doc_id", "host", _text_id(F.col("text")).alias("text_id"), hashed.alias("lines"))
-    lowest = F.slice(F.sort_array(F.array_distinct(F.col("lines.line"))), 1, 2)
-    each = (of_doc.withColumn("lowest", lowest)
-            .select("doc_id", "text_id", "host", "lowest", F.posexplode("lines").alias("place", "x"))
-            .select("doc_id", "text_id", "host", "place", "x.line", "x.words",
-                    F.when(F.col("x.line") != F.get("lowest", F.lit(0)), F.get("lowest", F.lit(0)))
-                    .otherwise(F.coalesce(F.get("lowest", F.lit(1)), "x.line")).alias("other")))
+    document = F.xxhash64(F.sort_array(F.array_distinct(F.col("lines.line"))))  # the same for copies
+    each = (of_doc.withColumn("document", document)
+            .select("doc_id", "text_id", "host", "document", F.posexplode("lines").alias("place", "x"))
+            .select("doc_id", "text_id", "host", "document", "place", "x.line", "x.words"))
     each = store(each, "lines")  # read twice: to count, and to find what is to go
-    counted = (each.groupBy("host", "line").agg(F.count_distinct("other").alias("documents"))
+    counted = (each.groupBy("host", "line").agg(F.count_distinct("document").alias("documents"))
                .where(F.col("documents") > LINE_DOCUMENTS))
     hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
     above = (counted.join(hosts, "host").where(F.col("documents") * 1000 > F.col("of_host") * LINE_PERMILLE)

@@ -45,6 +45,15 @@ def test_boilerplate_by_host_and_depletion(spark):
     assert all(got[300 + i]["n_boiler_words"] == 0 and got[300 + i]["kept"] for i in range(40))
 
 
+def test_documents_that_share_many_lines_are_told_apart(spark):
+    shared = [f"shared line {k}" for k in range(12)]
+    rows = [(i, "\n".join([*shared, body(i, 40)]), "a") for i in range(30)]
+    rows += [(100 + i, "\n".join([*(f"copied line {k}" for k in range(12)), body(99, 40)]), "a") for i in range(30)]
+    got = judged(spark, rows)
+    assert [got[i]["n_boiler_words"] for i in range(30)] == [36] * 30
+    assert [got[100 + i]["n_boiler_words"] for i in range(30)] == [0] * 30
+
+
 def test_cleaned_texts_keep_their_other_columns(spark):
     df = spark.createDataFrame(corpus(), ROW).withColumn("n_chars", F.length("text")).withColumn(
         "lost", F.lit(1)).withColumn("row", F.lit("r")).withColumn("host", F.lit(2)).withColumn("text_id", F.lit("t"))
