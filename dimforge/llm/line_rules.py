@@ -2,8 +2,9 @@
 
 Lines are normalised (white space runs to one space, trimmed, lower case) and
 hashed.  A line's documents on one host are counted; copies of a document count
-once, since a document is told apart by a hash of all its distinct lines.  A
-line in more documents than both limits allow is boilerplate on that host and is
+once, since a document is told apart by a hash of all its distinct lines.  The
+host's documents are counted alike, those without a line not at all.  A line in
+more documents than both limits allow is boilerplate on that host and is
 removed.  A document is rejected if its own text fails the base rules, or if too
 little is left of it.
 """
@@ -20,7 +21,7 @@ from dimforge.llm.shared import as_rows, pick, store
 SPACE = r"[ \t-\r]+"
 SPACES = " \t\n\x0b\x0c\r"
 LINE_DOCUMENTS = 20          # a line is boilerplate above so many documents of the host ...
-LINE_PERMILLE = 5            # ... that are also more than so many thousandths of the host's documents
+LINE_PERMILLE = 5            # ... that are also more than so many thousandths of the host's distinct documents
 LEAST_WORDS = 10             # fewer words fail the base rules, or, after removal, deplete a document
 MOST_REPEAT_PERCENT = 20     # of the words in repeated 5-word windows
 LEAST_LEFT_PERCENT = 10      # of the words, after removal
@@ -120,10 +121,10 @@ def boilerplate(documents: DataFrame) -> DataFrame:
     each = (of_doc.withColumn("document", document)
             .select("doc_id", "text_id", "host", "document", F.posexplode("lines").alias("place", "x"))
             .select("doc_id", "text_id", "host", "document", "place", "x.line", "x.words"))
-    each = store(each, "lines")  # read twice: to count, and to find what is to go
+    each = store(each, "lines")  # read three times: to count lines and documents, and to find what is to go
     counted = (each.groupBy("host", "line").agg(F.count_distinct("document").alias("documents"))
                .where(F.col("documents") > LINE_DOCUMENTS))
-    hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
+    hosts = each.groupBy("host").agg(F.count_distinct("document").alias("of_host"))  # those with a line
     above = (counted.join(hosts, "host").where(F.col("documents") * 1000 > F.col("of_host") * LINE_PERMILLE)
              .select("host", "line"))
     return (each.join(above, ["host", "line"])

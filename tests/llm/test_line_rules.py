@@ -54,6 +54,15 @@ def test_documents_that_share_many_lines_are_told_apart(spark):
     assert [got[100 + i]["n_boiler_words"] for i in range(30)] == [0] * 30
 
 
+def test_copies_and_empty_texts_do_not_raise_the_limit(spark):
+    rows = [(i, f"{MENU}\n{body(i)}", "a") for i in range(30)]
+    rows += [(1000 + i, f"{body(1)} {body(2)}\n{body(3)}", "a") for i in range(6000)]
+    rows += [(10000 + i, None, "a") for i in range(1000)]
+    got = judged(spark, rows)
+    assert [got[i]["n_boiler_words"] for i in range(30)] == [7] * 30
+    assert sum(x["n_boiler_words"] for x in got.values()) == 210
+
+
 def test_cleaned_texts_keep_their_other_columns(spark):
     df = spark.createDataFrame(corpus(), ROW).withColumn("n_chars", F.length("text")).withColumn(
         "lost", F.lit(1)).withColumn("row", F.lit("r")).withColumn("host", F.lit(2)).withColumn("text_id", F.lit("t"))
