@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dimforge.functions import keys as K
+from dimforge.plans import feed_queries
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
 from dimforge.plans.oracle import sql
@@ -465,6 +466,13 @@ SQL.update({
     "incremental_equals_full": sql(_counts(_inc), *_TABLE_FRAGS.values(), "address_dim"),
 })
 
+# -- change feeds -------------------------------------------------------------------
+_fed = " UNION ALL ".join(f"SELECT 1 AS x FROM {t}" for t in ("customer", "supplier", "orders", "events"))
+_stream = [("feed.consumed", f"{_fed} UNION ALL SELECT 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+           ("feed.batches", "SELECT * FROM (VALUES (1), (2), (3)) v"), ("feed.versions_by_replay", "SELECT 1 WHERE false")]
+SQL["warehouse_stream"] = sql(_counts(_stream + _inc), *_TABLE_FRAGS.values(), "address_dim")
+SQL.update(feed_queries.SQL)
+
 # -- damaged inputs ----------------------------------------------------------------
 SQL["silver_rejects"] = sql("""
 SELECT code, n AS population, CASE WHEN n IS NULL THEN 'population' END AS reject_reason

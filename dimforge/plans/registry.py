@@ -20,6 +20,7 @@ from dimforge.operators.dedup import last_state_per_key, latest_per_key
 from dimforge.operators.joins import validity_join
 from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_external, scd2_apply,
                                     scd2_close, scd2_history, scd2_initial, split_late_changes)
+from dimforge.plans import feed_queries
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
 from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, run_lake, silver_and_rejects,
@@ -879,3 +880,8 @@ def scd2_newcomers(spark, sf_dir):
     known = w.member_initial.filter(F.col("member_id") % 3 != 0)
     return scd2_history(known, S.member_changes(w.t), S.MEMBER, "change_ts", "seq", F.to_date("change_ts"),
                         w.member_initial.select("member_id", *S.MEMBER.type1))
+
+
+# ============================================================================ change feeds
+QUERIES.update(feed_queries.QUERIES)
+ORACLE.update({n: SQL[n] for n in feed_queries.QUERIES})

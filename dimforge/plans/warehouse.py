@@ -35,6 +35,12 @@ class Warehouse:
         self.spark = spark
         self.t = Tables(spark, sf_dir, filters)
 
+    @classmethod
+    def over(cls, tables: Tables) -> "Warehouse":
+        w = cls.__new__(cls)
+        w.spark, w.t = tables.spark, tables
+        return w
+
     def use(self, **published: DataFrame) -> "Warehouse":
         """Replace computed tables (e.g. ``member_dim``, ``calendar``) with
         published versions, so downstream facts read them instead of

@@ -36,6 +36,13 @@ class Tables:
         self._filters = filters or {}
         self._cache: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Tables":
+        """The given frames under the tables' names, e.g. the images a change feed has left."""
+        tables = cls(spark, "")
+        tables._cache.update(frames)
+        return tables
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
