@@ -19,7 +19,7 @@ from dimforge import publish as P
 
 ENVELOPE = "source string, action string, seq bigint, change_ts timestamp_ntz, payload string, _corrupt string"
 TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", **TIMES}
+PARSING = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", **TIMES}
 REJECTS = "_rejects"
 
 
@@ -41,13 +41,13 @@ def to_lines(rows: DataFrame, source: str, action: Column, seq: Column, change_t
 
 def parse(lines: DataFrame, sources: dict[str, Source]) -> DataFrame:
     """``value`` lines -> action, seq, change_ts, a struct per source, line, reason (null if the line can be loaded)."""
-    e = lines.select("value", F.from_json("value", ENVELOPE, JSON).alias("e"))
-    typed = {n: F.when(F.col("e.source") == n, F.from_json("e.payload", StructType([*s.schema]).add("_corrupt", "string"), JSON))
+    e = lines.select("value", F.from_json("value", ENVELOPE, PARSING).alias("e"))
+    typed = {n: F.when(F.col("e.source") == n, F.from_json("e.payload", StructType([*s.schema]).add("_corrupt", "string"), PARSING))
              for n, s in sources.items()}
-    e = e.select("value", "e", *(c.alias(n) for n, c in typed.items()))
-    image = F.coalesce(*(F.when(F.col("e.source") == n, F.coalesce(F.col(f"{n}._corrupt").isNotNull(), F.lit(True)))
+    e = e.select("value", "e", *(c.alias(f"row_{n}") for n, c in typed.items()))
+    image = F.coalesce(*(F.when(F.col("e.source") == n, F.col(f"row_{n}").isNull() | F.col(f"row_{n}._corrupt").isNotNull())
                          for n in sources))
-    keyless = F.coalesce(*(F.when(F.col("e.source") == n, F.greatest(*(F.col(f"{n}.{k}").isNull().cast("int")
+    keyless = F.coalesce(*(F.when(F.col("e.source") == n, F.greatest(*(F.col(f"row_{n}.{k}").isNull().cast("int")
                                                                        for k in s.key), F.lit(0)) == 1)
                            for n, s in sources.items()))
     reason = (F.when(F.col("e").isNull() | F.col("e._corrupt").isNotNull(), "not a feed line")
@@ -56,10 +56,11 @@ def parse(lines: DataFrame, sources: dict[str, Source]) -> DataFrame:
               .when(F.col("e.seq").isNull() | F.col("e.change_ts").isNull(), "no sequence number or time")
               .when(image, "row doesn't fit the table")
               .when(keyless, "no key"))
-    good = {n: F.when(reason.isNull(), F.struct(*(F.col(f"{n}.`{c}`").alias(c) for c in s.schema.names)))
+    good = {n: F.when(reason.isNull(), F.struct(*(F.col(f"row_{n}.`{c}`").alias(c) for c in s.schema.names)))
             for n, s in sources.items()}
-    return e.select(F.when(reason.isNull(), F.col("e.source")).otherwise(REJECTS).alias("part"),
-                    "e.action", "e.seq", "e.change_ts", *(F.when(F.col("e.source") == n, c).alias(n) for n, c in good.items()),
+    return e.select(F.when(reason.isNull(), F.col("e.source")).otherwise(REJECTS).alias("of_source"),
+                    "e.action", "e.seq", "e.change_ts",
+                    *(F.when(F.col("e.source") == n, c).alias(f"row_{n}") for n, c in good.items()),
                     F.when(reason.isNotNull(), F.col("value")).alias("line"), reason.alias("reason"))
 
 
@@ -71,12 +72,12 @@ class Routed:
 
     def of(self, source: str) -> DataFrame:
         """The source's rows as ``_action, _seq, _change_ts`` and its own columns; reads its partition only."""
-        return (self.table.where(F.col("part") == source).where(F.col(source).isNotNull())
+        return (self.table.where(F.col("of_source") == source)
                 .select(F.col("action").alias("_action"), F.col("seq").alias("_seq"), F.col("change_ts").alias("_change_ts"),
-                        *(F.col(f"{source}.`{c}`") for c in self.sources[source].schema.names)))
+                        *(F.col(f"row_{source}.`{c}`") for c in self.sources[source].schema.names)))
 
     def rejects(self) -> DataFrame:
-        return self.table.where(F.col("part") == REJECTS).select("line", "reason")
+        return self.table.where(F.col("of_source") == REJECTS).select("line", "reason")
 
 
 def route(lines: DataFrame, sources: dict[str, Source], path: str) -> Routed:
@@ -85,7 +86,7 @@ def route(lines: DataFrame, sources: dict[str, Source], path: str) -> Routed:
     seen = Observation()
     counted = parsed.observe(seen, F.count(F.lit(1)).alias("n_read"), F.count_if(F.col("reason").isNull()).alias("n_loadable"),
                              F.count_if(F.col("reason").isNotNull()).alias("n_rejected"))
-    counted.write.mode("errorifexists").partitionBy("part").parquet(path)
+    counted.write.mode("errorifexists").partitionBy("of_source").parquet(path)
     table = lines.sparkSession.read.schema(parsed.schema).parquet(path)
     return Routed(table, sources, {k: int(v) for k, v in seen.get.items()})
 
@@ -114,8 +115,8 @@ def stored_marks(spark, root: str) -> dict[str, tuple]:
 
 def route_csv(lines: DataFrame, source: Source, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """The same for CSV ``value`` lines of one table: ``(rows, rejects(line, reason), counts)``."""
-    parsed = lines.select("value", F.from_csv("value", StructType([*source.schema]).add("_corrupt", "string").simpleString()[7:-1],
-                                              {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", **TIMES}).alias("r"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema) + ", _corrupt string"
+    parsed = lines.select("value", F.from_csv("value", ddl, PARSING).alias("r"))
     keyless = F.greatest(*(F.col(f"r.{k}").isNull().cast("int") for k in source.key), F.lit(0)) == 1
     reason = F.when(F.col("r").isNull() | F.col("r._corrupt").isNotNull(), "row doesn't fit the table").when(keyless, "no key")
     table = parsed.select(*(F.when(reason.isNull(), F.col(f"r.`{c}`")).alias(c) for c in source.schema.names),
