@@ -204,14 +204,14 @@ WITH d AS (
   WHERE regexp_matches(line, '[^ \t-\r]')
 ), dup AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r
-), low AS (
+), document AS (
   SELECT r, list_sort(list(DISTINCT h)) AS hs FROM lines GROUP BY r
 ), counted AS (
-  SELECT host, h, count(DISTINCT CASE WHEN h <> hs[1] THEN hs[1] ELSE coalesce(hs[2], h) END) AS documents
-  FROM lines JOIN low USING (r) GROUP BY host, h
+  SELECT host, h, count(DISTINCT hs) AS documents FROM lines JOIN document USING (r) GROUP BY host, h
+), hosts AS (
+  SELECT host, count(DISTINCT hs) AS of_host FROM lines JOIN document USING (r) GROUP BY host
 ), above AS (
-  SELECT host, h FROM counted JOIN (SELECT host, count(*) AS of_host FROM d GROUP BY host) USING (host)
-  WHERE documents > 20 AND documents * 1000 > of_host * 5
+  SELECT host, h FROM counted JOIN hosts USING (host) WHERE documents > 20 AND documents * 1000 > of_host * 5
 ), lost AS (
   SELECT r, sum(n) AS n FROM lines JOIN above USING (host, h) GROUP BY r
 ), stats AS (

@@ -45,20 +45,26 @@ def test_boilerplate_by_host_and_depletion(spark):
     assert all(got[300 + i]["n_boiler_words"] == 0 and got[300 + i]["kept"] for i in range(40))
 
 
-def test_documents_that_share_many_lines_are_told_apart(spark):
+def shared_lines():
     shared = [f"shared line {k}" for k in range(12)]
     rows = [(i, "\n".join([*shared, body(i, 40)]), "a") for i in range(30)]
-    rows += [(100 + i, "\n".join([*(f"copied line {k}" for k in range(12)), body(99, 40)]), "a") for i in range(30)]
-    got = judged(spark, rows)
+    return rows + [(100 + i, "\n".join([*(f"copied line {k}" for k in range(12)), body(99, 40)]), "a") for i in range(30)]
+
+
+def copies():
+    rows = [(i, f"{MENU}\n{body(i)}", "a") for i in range(30)]
+    rows += [(1000 + i, f"{body(1)} {body(2)}\n{body(3)}", "a") for i in range(6000)]
+    return rows + [(10000 + i, None, "a") for i in range(1000)]
+
+
+def test_documents_that_share_many_lines_are_told_apart(spark):
+    got = judged(spark, shared_lines())
     assert [got[i]["n_boiler_words"] for i in range(30)] == [36] * 30
     assert [got[100 + i]["n_boiler_words"] for i in range(30)] == [0] * 30
 
 
 def test_copies_and_empty_texts_do_not_raise_the_limit(spark):
-    rows = [(i, f"{MENU}\n{body(i)}", "a") for i in range(30)]
-    rows += [(1000 + i, f"{body(1)} {body(2)}\n{body(3)}", "a") for i in range(6000)]
-    rows += [(10000 + i, None, "a") for i in range(1000)]
-    got = judged(spark, rows)
+    got = judged(spark, copies())
     assert [got[i]["n_boiler_words"] for i in range(30)] == [7] * 30
     assert sum(x["n_boiler_words"] for x in got.values()) == 210
 
@@ -89,8 +95,10 @@ def test_statistics_on_longer_texts_than_packed_positions(spark, monkeypatch):
     same_as_sql(spark, EDGES)
 
 
-def test_corpus_as_sql_has_it(spark):
-    same_as_sql(spark, corpus())
+@pytest.mark.parametrize("rows", [corpus, shared_lines, copies], ids=lambda f: f.__name__)
+def test_corpora_as_sql_has_them(spark, rows):
+    same_as_sql(spark, rows())
+    assert max(x["n_boiler_words"] for x in judged(spark, rows()).values()) > 0
 
 
 @pytest.mark.parametrize("f", [r.line_frequency_rules, r.clean_documents])
