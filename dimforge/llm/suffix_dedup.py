@@ -52,7 +52,7 @@ def _power(k: int) -> np.uint64:
 
 
 def _text_tag(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """16 bits of every text, to tell rows with the same doc_id apart."""
+    """16 bits of every text, kept beside its starts."""
     values = np.array([int.from_bytes(hashlib.blake2b(flat[a:b].tobytes(), digest_size=2).digest(), "little")
                        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], np.int64)
     return values
@@ -106,7 +106,8 @@ def sample_runs(flat: np.ndarray, bounds: np.ndarray):
     return first, last, q, gram[q], whole
 
 
-_RUNS = pa.schema([("bucket", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64())])
+_RUNS = pa.schema([("bucket", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64()),
+                  ("tag", pa.int64())])
 # meta: first start (32 bits), text tag (16), distance to the sample of the first and last start (8, 8)
 
 
@@ -125,7 +126,7 @@ def _last(meta):
 def _sample_documents(batches):
     """Runs of every document; a run that repeats one of the same chunk comes as bucket null."""
     for batch in batches:
-        ids, text = batch.column(0).to_numpy(), batch.column(1)
+        ids, text, tags = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
         for a, b in text_chunks(text, CHUNK):
             flat, bounds = text_bytes(text.slice(a, b - a))
             tag = _text_tag(flat, bounds)
@@ -138,41 +139,42 @@ def _sample_documents(batches):
                 first, last, q, gram, whole = sample_runs(part, limits)
                 row = np.searchsorted(limits, first, side="right") - 1
                 base = limits[row] if len(row) else row
-                doc = ids[a + row]
+                doc, wide = ids[a + row], tags[a + row]
                 meta = _meta(first - base, tag[row], q - base, last - base, start)
-                order = np.lexsort((meta, doc, whole))
+                order = np.lexsort((wide, meta, doc, whole))
                 same = np.zeros(len(order), bool)
                 same[1:] = whole[order[1:]] == whole[order[:-1]]
                 known = np.zeros(len(order), bool)
                 known[order] = same
                 # the same row of the table twice is no repeat
                 twin = np.zeros(len(order), bool)
-                twin[1:] = (same[1:] & (doc[order[1:]] == doc[order[:-1]]) & (meta[order[1:]] == meta[order[:-1]]))
+                twin[1:] = (same[1:] & (doc[order[1:]] == doc[order[:-1]]) & (meta[order[1:]] == meta[order[:-1]])
+                            & (wide[order[1:]] == wide[order[:-1]]))
                 drop = np.zeros(len(order), bool)
                 drop[order] = twin
                 keep = ~drop
                 yield batch_of(_RUNS, pa.array(gram.view(np.int64)[keep], mask=known[keep]),
-                               whole.view(np.int64)[keep], doc[keep], meta[keep])
+                               whole.view(np.int64)[keep], doc[keep], meta[keep], wide[keep])
                 if part is flat:
                     break
 
 
-_FOUND = pa.schema([("bucket", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64())])
+_FOUND = pa.schema([("bucket", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64()), ("tag", pa.int64())])
 
 
 def _sort_runs(batches):
-    """Runs sorted by bucket, run, doc, meta.  Out: repeats (bucket null), and runs to be compared in their bucket."""
+    """Runs sorted by bucket, run, doc, meta, tag.  Out: repeats (bucket null), and runs to be compared in their bucket."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
         known = batch.column(0).is_null().to_numpy(zero_copy_only=False)
-        doc, meta = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        doc, meta, tag = (batch.column(i).to_numpy() for i in (2, 3, 4))
         if known.any():
-            yield batch_of(_FOUND, pa.nulls(int(known.sum()), pa.int64()), doc[known], meta[known])
+            yield batch_of(_FOUND, pa.nulls(int(known.sum()), pa.int64()), doc[known], meta[known], tag[known])
         if known.all():
             continue
-        cols = [pc.fill_null(batch.column(0), 0).to_numpy(), batch.column(1).to_numpy(), doc, meta]
+        cols = [pc.fill_null(batch.column(0), 0).to_numpy(), batch.column(1).to_numpy(), doc, meta, tag]
         cols = [c[~known] for c in cols]
         joined = False
         if held:
@@ -180,51 +182,49 @@ def _sort_runs(batches):
             joined, previous = held[1], held[2]
         else:
             previous = None
-        bucket, run, doc, meta = cols
+        bucket, run, doc, meta, tag = cols
         new = np.ones(len(bucket), bool)
         new[1:] = (bucket[1:] != bucket[:-1]) | (run[1:] != run[:-1])
-        before_doc, before_meta = np.append(doc[:1], doc[:-1]), np.append(meta[:1], meta[:-1])
+        before_doc, before_meta, before_tag = (np.append(x[:1], x[:-1]) for x in (doc, meta, tag))
         if previous is not None and len(doc) > 1:
-            before_doc[1], before_meta[1] = previous
-        repeat = ~new & ~((doc == before_doc) & (meta == before_meta))
-        yield batch_of(_FOUND, pa.nulls(int(repeat.sum()), pa.int64()), doc[repeat], meta[repeat])
+            before_doc[1], before_meta[1], before_tag[1] = previous
+        repeat = ~new & ~((doc == before_doc) & (meta == before_meta) & (tag == before_tag))
+        yield batch_of(_FOUND, pa.nulls(int(repeat.sum()), pa.int64()), doc[repeat], meta[repeat], tag[repeat])
         lead = np.flatnonzero(new)
         same = bucket[lead[1:]] == bucket[lead[:-1]]
         before = np.append(joined, same)
         out = lead[:-1][before[:-1] | same]
-        yield batch_of(_FOUND, bucket[out], doc[out], meta[out])
-        held = ([c[lead[-1]] for c in cols], bool(before[-1]), (doc[-1], meta[-1]))
+        yield batch_of(_FOUND, bucket[out], doc[out], meta[out], tag[out])
+        held = ([c[lead[-1]] for c in cols], bool(before[-1]), (doc[-1], meta[-1], tag[-1]))
     if held and held[1]:
-        bucket, _, doc, meta = held[0]
-        yield batch_of(_FOUND, [bucket], [doc], [meta])
+        bucket, _, doc, meta, tag = held[0]
+        yield batch_of(_FOUND, [bucket], [doc], [meta], [tag])
 
 
 def _pack_documents(batches):
     pack = zstandard.ZstdCompressor(level=3).compress
-    schema = pa.schema([("doc", pa.int64()), ("null_id", pa.bool_()), ("packed", pa.binary())])
+    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("null_id", pa.bool_()), ("packed", pa.binary())])
     for batch in batches:
         ids = batch.column(0)
         for a, b in text_chunks(batch.column(1)):
             text = pc.fill_null(batch.column(1).slice(a, b - a), "").to_pylist()
             part = ids.slice(a, b - a)
-            yield batch_of(schema, part, pc.equal(part, NO_ID), [pack(x.encode()) for x in text])
+            yield batch_of(schema, part, batch.column(2).slice(a, b - a), batch.column(3).slice(a, b - a), [pack(x.encode()) for x in text])
 
 
 _CONTEXT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("parts", pa.int64()), ("doc", pa.int64()),
-                      ("meta", pa.int64()), ("bytes", pa.binary())])
+                      ("meta", pa.int64()), ("tag", pa.int64()), ("bytes", pa.binary())])
 
 
 def _cut_contexts(batches):
-    """(doc, packed, buckets, parts, all parts, metas) -> the bytes of each run."""
+    """(doc, tag, packed, buckets, parts, all parts, metas) -> the bytes of each run."""
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for doc, packed, *runs in zip(*(batch.column(i) for i in range(6)), strict=True):
+        for doc, tag, packed, *runs in zip(*(batch.column(i) for i in range(7)), strict=True):
             text = unpack(packed.as_py())
-            tag = int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "little")
             bucket, part, parts, meta = (x.values.to_numpy() for x in runs)
-            mine = np.flatnonzero(((meta >> 16) & 0xFFFF) == tag)
-            meta = meta[mine]
-            yield batch_of(_CONTEXT, bucket[mine], part[mine], parts[mine], np.full(len(meta), doc.as_py()), meta,
+            yield batch_of(_CONTEXT, bucket, part, parts, np.full(len(meta), doc.as_py()), meta,
+                           np.full(len(meta), tag.as_py()),
                            [text[f:g + SPAN] for f, g in zip(_first(meta).tolist(), _last(meta).tolist(), strict=True)])
 
 
@@ -274,12 +274,12 @@ def repeated_starts(bucket: np.ndarray, meta: np.ndarray, contexts: list[bytes])
     return np.concatenate(rows), np.concatenate(distances)
 
 
-_SOLVED = pa.schema([("doc", pa.int64()), ("meta", pa.int64()), ("bucket", pa.int64()), ("string", pa.binary())])
+_SOLVED = pa.schema([("doc", pa.int64()), ("meta", pa.int64()), ("tag", pa.int64()), ("bucket", pa.int64()), ("string", pa.binary())])
 
 
 def _solve(table: pa.Table, group: np.ndarray):
     """Runs of repeated strings; of buckets in several parts also the other strings, to be compared between parts."""
-    bucket, parts, doc, meta = (table[c].to_numpy() for c in ("bucket", "parts", "doc", "meta"))
+    bucket, parts, doc, meta, tag = (table[c].to_numpy() for c in ("bucket", "parts", "doc", "meta", "tag"))
     contexts = table["bytes"].to_pylist()
     row, o = repeated_starts(group, meta, contexts)
     start = _first(meta[row]) + ((meta[row] >> 8) & 255) - o
@@ -292,18 +292,18 @@ def _solve(table: pa.Table, group: np.ndarray):
     first, last = start[begin], start[end] if len(row) else start
     none = pa.nulls(len(begin))
     yield batch_of(_SOLVED, doc[row[begin]], (first << 32) | (meta[row[begin]] & 0xFFFF0000) | ((last - first) << 8),
-                   none.cast(pa.int64()), none.cast(pa.binary()))
+                   tag[row[begin]], none.cast(pa.int64()), none.cast(pa.binary()))
     known = set(zip(row.tolist(), start.tolist(), strict=True)) if (parts > 1).any() else set()
     for r in np.flatnonzero(parts > 1).tolist():
         begin = int(_first(meta[r]))
         at = [x for x in range(begin, int(_last(meta[r])) + 1) if (r, x) not in known]
         strings = [hashlib.blake2b(contexts[r][x - begin:x - begin + SPAN], digest_size=16).digest() for x in at]
-        yield batch_of(_SOLVED, [doc[r]] * len(at), [(x << 32) | int(meta[r] & 0xFFFF0000) for x in at],
+        yield batch_of(_SOLVED, [doc[r]] * len(at), [(x << 32) | int(meta[r] & 0xFFFF0000) for x in at], [tag[r]] * len(at),
                        [bucket[r]] * len(at), strings)
 
 
 def _sort_buckets(batches):
-    """Contexts sorted by bucket, part, doc, meta; whole parts of buckets are solved together."""
+    """Contexts sorted by bucket, part, doc, meta, tag; whole parts of buckets are solved together."""
     held = []
     for batch in batches:
         if batch.num_rows:
@@ -337,9 +337,7 @@ def _remove(batches):
                 text = unpack(packed.as_py())
                 removed, spans, kept = 0, 0, text
                 if metas.is_valid and len(metas):
-                    tag = int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "little")
                     meta = metas.values.to_numpy()
-                    meta = meta[((meta >> 16) & 0xFFFF) == tag]
                     edge = np.zeros(len(text) + 1, np.int64)
                     np.add.at(edge, _first(meta), 1)
                     np.add.at(edge, _last(meta) + SPAN, -1)
@@ -357,35 +355,40 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     A byte is removed if a 100-byte string over it also starts earlier: in a
     document of smaller doc_id, or earlier in its own.  ``kept`` has the other
     bytes.  Null text is empty.  Documents without doc_id come after all others;
-    rows that share a doc_id count as versions of one document, in order of
-    start; the same row twice is one document.  Other columns are ignored.
+    rows that share a doc_id, or have none, count as versions of one document, in
+    order of start, and are told apart by 64 more bits of their text; the same row
+    twice is one document.  Other columns are ignored.
     """
     docs = pick(documents, doc_id="long", text="string").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
-    runs = docs.mapInArrow(_sample_documents, "bucket long, run long, doc long, meta long")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
+        F.col("doc_id").isNull().alias("null_id"))
+    runs = docs.select("doc", "text", "tag").mapInArrow(
+        _sample_documents, "bucket long, run long, doc long, meta long, tag long")
     # runs already known as repeats are spread, the others go to their bucket
-    place = F.coalesce("bucket", F.xxhash64("doc", "meta"))
-    found = store(runs.repartition(place).sortWithinPartitions("bucket", "run", "doc", "meta")
-                  .mapInArrow(_sort_runs, "bucket long, doc long, meta long"), "runs")
-    packed = docs.mapInArrow(_pack_documents, "doc long, null_id boolean, packed binary")
+    place = F.coalesce("bucket", F.xxhash64("doc", "tag", "meta"))
+    found = store(runs.repartition(place).sortWithinPartitions("bucket", "run", "doc", "meta", "tag")
+                  .mapInArrow(_sort_runs, "bucket long, doc long, meta long, tag long"), "runs")
+    packed = docs.mapInArrow(_pack_documents, "doc long, tag long, null_id boolean, packed binary")
     todo = found.where("bucket is not null")
     # a bucket of very many runs is sorted in parts, and the strings of its parts are compared after that
     large = (todo.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_RUNS).alias("parts")).where("parts > 1"))
     todo = (todo.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
-            .withColumn("part", F.pmod(F.xxhash64("doc", "meta"), F.col("parts"))))
-    open_runs = (todo.groupBy("doc")
-                 .agg(F.collect_list(F.struct("bucket", "part", "parts", "meta")).alias("runs")))  # a document's own runs
-    contexts = (packed.join(open_runs, "doc").select("doc", "packed", "runs.bucket", "runs.part", "runs.parts", "runs.meta")
-                .mapInArrow(_cut_contexts, "bucket long, part long, parts long, doc long, meta long, bytes binary"))
-    solved = store(contexts.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "doc", "meta")
-                   .mapInArrow(_sort_buckets, "doc long, meta long, bucket long, string binary"), "solved")
-    same = Window.partitionBy("bucket", "string").orderBy("doc", "meta")  # a row for each part at most
+            .withColumn("part", F.pmod(F.xxhash64("doc", "tag", "meta"), F.col("parts"))))
+    open_runs = (todo.groupBy("doc", "tag")
+                 .agg(F.collect_set(F.struct("bucket", "part", "parts", "meta")).alias("runs")))  # one text's own runs
+    contexts = (packed.join(open_runs, ["doc", "tag"])
+                .select("doc", "tag", "packed", "runs.bucket", "runs.part", "runs.parts", "runs.meta")
+                .mapInArrow(_cut_contexts,
+                            "bucket long, part long, parts long, doc long, meta long, tag long, bytes binary"))
+    solved = store(contexts.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "doc", "meta", "tag")
+                   .mapInArrow(_sort_buckets, "doc long, meta long, tag long, bucket long, string binary"), "solved")
+    same = Window.partitionBy("bucket", "string").orderBy("doc", "meta", "tag")  # a row for each part at most
     between = (solved.where("string is not null").withColumn("r", F.row_number().over(same)).where("r > 1")
-               .select("doc", "meta"))
+               .select("doc", "tag", "meta"))
     repeats = (found.where("bucket is null").unionByName(solved.where("string is null"), allowMissingColumns=True)
-               .select("doc", "meta").unionByName(between))
-    of_doc = repeats.groupBy("doc").agg(F.collect_list("meta").alias("metas"))  # at most a document's own runs
-    return (packed.join(of_doc, "doc", "left").select("doc", "null_id", "packed", "metas")
+               .select("doc", "tag", "meta").unionByName(between))
+    of_doc = repeats.groupBy("doc", "tag").agg(F.collect_set("meta").alias("metas"))  # one text's own runs
+    return (packed.join(of_doc, ["doc", "tag"], "left").select("doc", "null_id", "packed", "metas")
             .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 

@@ -69,3 +69,23 @@ def test_nulls_empty_repeats_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_very_many_rows_without_id(spark):
+    """Far more rows than 16 bits of a text tell apart; each is a version of the last document."""
+    rnd = random.Random(8)
+    shared = "".join(rnd.choice("abcdefgh ") for _ in range(140))
+    texts = ["".join(rnd.choice("ijklmnop ") for _ in range(rnd.choice([17, 120, 300]))) for _ in range(2000)]
+    got = run(spark, [(1, shared), *((None, t) for t in texts), *[(None, shared)] * 5])
+    want = [(1, 140, 0, 0, shared.encode()), *[(None, 140, 140, 1, b"")] * 5, *((None, len(t), 0, 0, t.encode()) for t in texts)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_versions_with_one_short_tag(spark, monkeypatch):
+    monkeypatch.setattr(sd, "_text_tag", lambda flat, bounds: sd.np.zeros(len(bounds) - 1, sd.np.int64))
+    rnd = random.Random(9)
+    a, b, c = ("".join(rnd.choice("abcdefgh ") for _ in range(478)) for _ in range(3))
+    got = {bytes(k) or t: gone for (_, n, gone, _, k), t in zip(run(spark, [(1, a), (None, a), (None, b), (None, c[:17])]),
+                                                               "wxyz", strict=True)}
+    assert sorted(got.values()) == [0, 0, 0, 478]
+    assert {x for x in got if isinstance(x, bytes)} == {a.encode(), b.encode(), c[:17].encode()}
