@@ -10,8 +10,6 @@ says where the n-th piece of a length stands.
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -25,7 +23,7 @@ from dimforge.llm.shingles import byte_values, hash_runs, text_bytes, text_chunk
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 800_000      # words whose ids a Python worker remembers at once
+CACHE_WORDS = 300_000      # words whose ids a task remembers at once
 JOINED_WORDS = 64
 RANKED_ROWS = 200_000      # rows of one length numbered in one task, about
 
@@ -136,21 +134,12 @@ class WordIds:
         return ids, np.concatenate([[0], out[last_word]])
 
 
-def worker_words(path: str) -> WordIds:
-    """The word ids of this Python worker, which Spark reuses for many tasks; only a memory of what is the same anyway."""
-    state = sys.modules.setdefault("dimforge_worker", types.ModuleType("dimforge_worker"))
-    known = state.__dict__.setdefault("word_ids", {})
-    if path not in known:
-        known[path] = WordIds(path)
-    return known[path]
-
-
 def _cut(path: str, capacity: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64())])
 
     def run(batches):
-        words = worker_words(path)
+        words = WordIds(path)
         for batch in batches:
             for a, b in text_chunks(batch.column(1)):
                 ids, bounds = words.encode(batch.column(1).slice(a, b - a))
