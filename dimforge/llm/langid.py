@@ -10,11 +10,13 @@ whose counts are left out.
 
 from __future__ import annotations
 
+import pickle
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +25,7 @@ from dimforge.llm.shingles import text_chunks
 
 ORDER = 4
 SAMPLE_DOCUMENTS = 1000    # per language, the lowest hashes of doc_id; one in five of them calibrates
-SAMPLE_CHARACTERS = 5000   # of each
-MOST_LANGUAGES = 500       # learned; those with most documents in the sample, then by name
-MODEL_GRAMS = 300_000      # per language, the most frequent
+RANK_SLICES = 64           # a language's documents are ranked in so many parts first
 SLOTS_BITS = 19            # of the table of n-grams scored before, per task
 REJECTED_SHARE = 0.005     # of calibration documents of a language fall behind its limit
 UNKNOWN = "und"
@@ -42,7 +42,7 @@ def _letters() -> np.ndarray:
 def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Normalised characters (16 bits each) of all rows, one space before each row, and the row boundaries.
 
-    Letters beyond 16 bits share one value.
+    Letters beyond 16 bits share one value; other characters there are no letters either.
     """
     column = pc.utf8_lower(pc.fill_null(column, ""))
     lengths = pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -51,8 +51,11 @@ def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     code = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
     starts = np.cumsum(lengths) - lengths + np.arange(rows)
     wide = code >= 0x10000
+    some = np.unique(code[wide])
+    lettered = some[[chr(c).isalpha() for c in some.tolist()]] if len(some) else some
+    wide_letter = np.isin(code, lettered) if len(lettered) else np.zeros(len(code), bool)
     code = np.where(wide, 0xFFFF, code).astype(np.uint64)
-    letter = _letters()[code.astype(np.int64)] | wide
+    letter = _letters()[code.astype(np.int64)] & ~wide | wide_letter
     code[~letter] = 32
     code = np.insert(code, np.cumsum(lengths) - lengths, 32)  # a space before each row
     first = np.zeros(len(code), bool)
@@ -159,12 +162,13 @@ def _count(batches):
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
     for batch in batches:
         langs = batch.column(0).to_pylist()
-        text = pc.utf8_slice_codeunits(batch.column(1), 0, SAMPLE_CHARACTERS)
-        packed, bounds = grams(*characters(text))
-        for lang in sorted(set(langs)):
-            mine = np.concatenate([packed[a:b] for x, (a, b) in zip(langs, pairwise(bounds.tolist()), strict=True) if x == lang])
-            codes, n = np.unique(mine, return_counts=True)
-            yield batch_of(schema, [lang] * len(codes), codes.view(np.int64), n)
+        for first, last in text_chunks(batch.column(1)):
+            packed, bounds = grams(*characters(batch.column(1).slice(first, last - first)))
+            part = langs[first:last]
+            for lang in sorted(set(part)):
+                mine = np.concatenate([packed[a:b] for x, (a, b) in zip(part, pairwise(bounds.tolist()), strict=True) if x == lang])
+                codes, n = np.unique(mine, return_counts=True)
+                yield batch_of(schema, [lang] * len(codes), codes.view(np.int64), n)
 
 
 def _calibrate(models: dict[str, CharacterModel], rows: list[tuple[str, str]]) -> tuple[float, dict[str, float]]:
@@ -174,7 +178,7 @@ def _calibrate(models: dict[str, CharacterModel], rows: list[tuple[str, str]]) -
     limits = {x: float("inf") for x in langs}
     if not rows:
         return 1.0, limits
-    packed, bounds = grams(*characters(pa.array([t[:SAMPLE_CHARACTERS] for _, t in rows])))
+    packed, bounds = grams(*characters(pa.array([t for _, t in rows])))
     bits = Scorer([models[x] for x in langs])(packed, bounds)
     true = np.array([langs.index(x) for x, _ in rows])
     some = np.diff(bounds) > 0
@@ -195,28 +199,31 @@ def _posterior(bits: np.ndarray, temperature: float) -> np.ndarray:
 
 
 def train(labelled: DataFrame):
-    """``labelled(doc_id, text, lang)`` -> (languages, models, temperature, limits), from a bounded sample."""
+    """``labelled(doc_id, text, lang)`` -> (languages, models, temperature, limits), from a bounded sample.
+
+    The sample is SAMPLE_DOCUMENTS whole texts of every language, those of lowest
+    hash of doc_id; every fifth calibrates and isn't counted, but the first always is.
+    """
     rows = pick(labelled, doc_id="long", text="string", lang="string").where("lang is not null and text is not null")
     keyed = rows.withColumn("h", F.xxhash64("doc_id"))
-    limit = (keyed.select("lang", "h")
-             .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-             .where(F.col("r") <= SAMPLE_DOCUMENTS).groupBy("lang").agg(F.max("h").alias("most"), F.count("h").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    by_slice = Window.partitionBy("lang", "slice").orderBy("h")
+    lowest = (keyed.select("lang", "h", F.pmod(F.xxhash64("h"), F.lit(RANK_SLICES)).alias("slice"))
+              .withColumn("r", F.row_number().over(by_slice)).where(F.col("r") <= SAMPLE_DOCUMENTS))
+    limit = (lowest.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+             .where(F.col("r") <= SAMPLE_DOCUMENTS).groupBy("lang").agg(F.max("h").alias("most"), F.min("h").alias("least")).collect())  # a row per language
     if not limit:
         return [], [], 1.0, np.zeros(0)
-    # a constant of a bounded number of languages, so that no text is moved but the sample's
-    most = F.create_map(*(F.lit(x) for r in limit for x in (r["lang"], r["most"])))
-    sample = (keyed.where(F.col("h") <= most[F.col("lang")])
-              .select("lang", F.substring("text", 1, SAMPLE_CHARACTERS).alias("text"), F.pmod("h", F.lit(5)).alias("fold")))
+    # local rows of known size, so that no text is moved but the sample's
+    most = labelled.sparkSession.createDataFrame([(r["lang"], r["most"], r["least"]) for r in limit], "lang string, most long, least long")
+    sample = (keyed.join(most, "lang").where(F.col("h") <= F.col("most"))
+              .select("lang", "text", F.when(F.col("h") == F.col("least"), 1).otherwise(F.pmod("h", F.lit(5))).alias("fold")))
     counted = (sample.where("fold <> 0").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
-               .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-               .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-               .where(F.col("r") <= MODEL_GRAMS).select("lang", "gram", "n").toArrow())
+               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     names = np.array(counted["lang"].to_pylist(), dtype=object)
     codes, n = counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy()
     alphabet = len(np.unique(codes & np.uint64(0xFFFF)))
     models = {x: CharacterModel(codes[names == x], n[names == x], alphabet) for x in sorted(set(names.tolist()))}
-    held = [(r[0], r[1]) for r in sample.where("fold = 0").select("lang", "text").limit(SAMPLE_DOCUMENTS).collect()]
+    held = [(r[0], r[1]) for r in sample.where("fold = 0").select("lang", "text").collect()]
     temperature, limits = _calibrate(models, held)
     langs = sorted(models)
     return langs, [models[x] for x in langs], temperature, np.array([limits[x] for x in langs])
@@ -227,7 +234,7 @@ def _predict(trained):
                         ("bits_per_char", pa.float64()), ("rejected", pa.bool_())])
 
     def run(batches):
-        langs, models, temperature, limits = trained.value
+        langs, models, temperature, limits = pickle.loads(trained.value)
         scorer = Scorer(models)
         for batch in batches:
             for a, b in text_chunks(batch.column(1)):
@@ -257,7 +264,8 @@ def predict(documents: DataFrame, trained) -> DataFrame:
     ``rejected`` marks text that fits its language worse than nearly all
     calibration documents.  Other columns are ignored.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(trained)
+    # models by value: executors have no copy of this package
+    shared = documents.sparkSession.sparkContext.broadcast(cloudpickle.dumps(trained))
     return pick(documents, doc_id="long", text="string").mapInArrow(
         _predict(shared), "doc_id long, lang_pred string, score double, bits_per_char double, rejected boolean")
 

@@ -86,3 +86,19 @@ def test_held_out_accuracy_on_the_small_tables(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     both = g.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null")
     assert both.where("lang_pred = lang").count() >= 0.95 * both.count() > 0
+
+
+def test_wide_characters_that_are_no_letters(spark):
+    rows = [(i, f"the cat sat on the mat number {i}", "en") for i in range(40)]
+    rows += [(100, "\U0001F600\U0001F680 \U0001F4A9", None), (101, "\U00010400\U00010428", None), (102, "123 \u2603", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in g.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100] == got[102] == "und" and got[101] != "und"
+
+
+def test_many_languages_are_all_learned(spark):
+    """None is left out, however many there are."""
+    rnd = random.Random(3)
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 2600)]
+    rows = [(k * 20 + i, "".join(rnd.choice(alphabet[k * 5:k * 5 + 5]) for _ in range(40)), f"l{k}") for k in range(520) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(g.train(df)[0]) == 520
