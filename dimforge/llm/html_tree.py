@@ -23,7 +23,7 @@ from dimforge.llm.labelled_pages import pages
 from dimforge.llm.shared import batch_of, pick
 from dimforge.llm.shingles import text_chunks
 
-TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>|[!?][^>]*>)", re.S)
+TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([A-Za-z][^\s/>\"'<]*+)((?:[^>\"'<]++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|[!?][^>]*>)", re.S)
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # Fixed values of HTML: elements by how they are read.
@@ -79,6 +79,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if here in within:
                 return
 
+    unclosed: set[str] = set()
     while at < end:
         start = html.find("<", at)
         if start < 0:
@@ -102,7 +103,9 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 close(tag, frozenset({"table"}) if tag in ("tr", "td", "th") else frozenset())
             continue
         if tag in RAW and not m[3].endswith("/"):
-            closing = re.compile(f"</{tag}\\s*>", re.I).search(html, at)
+            closing = None if tag in unclosed else re.compile(f"</{tag}\\s*>", re.I).search(html, at)
+            if closing is None:
+                unclosed.add(tag)  # nor is there one further on
             at = closing.end() if closing else (end if tag in ("script", "style", "textarea", "title", "xmp") else at)
             continue
         if tag == "a":

@@ -1,3 +1,4 @@
+import time
 import itertools
 import math
 import random
@@ -61,6 +62,28 @@ def test_many_broken_tags_take_linear_time():
     assert isinstance(text_of('<a b="' * 50000), str)
 
 
+def test_signs_in_quoted_attributes_are_no_markup():
+    page = f"""<html><body><article><h1>T</h1><p title="a < b > c" data-x='<p>'>{STORY}</p></article></body></html>"""
+    assert text_of(page) == f"T {STORY.strip()}"
+
+
+@pytest.mark.parametrize("tag", ["button", "svg", "select", "noscript"])
+def test_unclosed_raw_elements_take_linear_time(tag):
+    took = []
+    for n in (4000, 32000):
+        start = time.perf_counter()
+        text_of(f"<{tag}>some words here " * n)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * took[0] + 0.2
+
+
+def test_quotes_that_never_close_take_linear_time():
+    for page in ("<a title='" * 20000, "<a\"\" <a' " * 20000, "<a\"<a\"" * 20000, "<p title=\"x" * 20000 + "\">"):
+        start = time.perf_counter()
+        text_of(page)
+        assert time.perf_counter() - start < 10
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     page = f"<html><body><nav><a href=/>Home</a></nav><article><p>{STORY}</p></article></body></html>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "long words, here. " * 20000)]
