@@ -25,6 +25,7 @@ CAPACITY = 4096
 END_ID = 1
 CACHE_WORDS = 300_000      # words whose ids a task remembers at once
 JOINED_WORDS = 64
+CHUNK = 250_000            # bytes of text at once: the arrays take some fifty times as much
 RANKED_ROWS = 200_000      # rows of one length numbered in one task, about
 
 
@@ -141,7 +142,7 @@ def _cut(path: str, capacity: int):
     def run(batches):
         words = WordIds(path)
         for batch in batches:
-            for a, b in text_chunks(batch.column(1)):
+            for a, b in text_chunks(batch.column(1), CHUNK):
                 ids, bounds = words.encode(batch.column(1).slice(a, b - a))
                 size = np.diff(bounds)
                 pieces = -(-size // capacity)
