@@ -10,6 +10,7 @@ says where the n-th piece of a length stands.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -18,13 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import batch_of, pick, store
+from dimforge.llm.shared import batch_of, lean, pick, store
 from dimforge.llm.shingles import byte_values, hash_runs, text_bytes, text_chunks, word_starts
 
 CAPACITY = 4096
 END_ID = 1
 CACHE_WORDS = 300_000      # words whose ids a task remembers at once
 JOINED_WORDS = 64
+BATCH_LINES = 32           # encoded at once: their tokens take far more memory than the ids kept of them
 CHUNK = 250_000            # bytes of text at once: the arrays take some fifty times as much
 RANKED_ROWS = 200_000      # rows of one length numbered in one task, about
 
@@ -62,6 +64,7 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here, and each thread keeps memory of its own
         self.tokenizer = Tokenizer.from_file(path)
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.between = max(special, key=special.get, default="")
@@ -80,13 +83,13 @@ class WordIds:
         if plain and self.between:
             mark = self.between.encode()
             lines = [mark.join(words[k:k + JOINED_WORDS]).decode() for k in range(0, len(words), JOINED_WORDS)]
-            found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-            ids = np.concatenate([np.array([*e.ids, self.between_id], np.uint32) for e in found])
+            ids = np.concatenate([np.array([*e.ids, self.between_id], np.uint32) for k in range(0, len(lines), BATCH_LINES)
+                                  for e in self.tokenizer.encode_batch_fast(lines[k:k + BATCH_LINES], add_special_tokens=False)])
             ends = np.flatnonzero(ids == self.between_id)
             begin = np.append(0, ends[:-1] + 1)
             return ids, begin, ends - begin
-        found = [np.array(e.ids, np.uint32) for e in
-                 self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        found = [np.array(e.ids, np.uint32) for k in range(0, len(words), BATCH_LINES) for e in
+                 self.tokenizer.encode_batch_fast([w.decode() for w in words[k:k + BATCH_LINES]], add_special_tokens=False)]
         size = np.array([len(x) for x in found], np.int64)
         return np.concatenate(found), np.cumsum(size) - size, size
 
@@ -165,7 +168,7 @@ def tokenized_pieces(documents: DataFrame, tokenizer_file: str, capacity: int =
     ``capacity``.  Null or empty text is END_ID alone.
     """
     return pick(documents, doc_id="long", text="string").mapInArrow(
-        _cut(tokenizer_file, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        lean(_cut(tokenizer_file, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # --- the plan ------------------------------------------------------------------------------------
@@ -272,7 +275,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
     ranked = (salted.withColumn("number", number - 1).join(before, ["length", "part"])
               .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("number")).alias("rank")))
-    return ranked.mapInArrow(_place(plan), "doc_id long, piece int, start long, length long, ids_crc32 long, "
+    return ranked.mapInArrow(lean(_place(plan)), "doc_id long, piece int, start long, length long, ids_crc32 long, "
                                            "sequence_id long, offset long")
 
 

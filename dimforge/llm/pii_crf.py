@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import batch_of, pick
+from dimforge.llm.shared import batch_of, lean, pick
 from dimforge.llm.shingles import text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -331,7 +331,7 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     model = documents.sparkSession.sparkContext.broadcast(train(documents))
     fields = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string",
                         "n_added long"])
-    return pick(documents, doc_id="long", text="string").mapInArrow(_search(model), fields)
+    return pick(documents, doc_id="long", text="string").mapInArrow(lean(_search(model)), fields)
 
 
 def _mask(model):
@@ -369,4 +369,4 @@ def mask_personal_data(documents: DataFrame) -> DataFrame:
     ``n_chars``, if there is such a column, follows.  Null text stays null.
     """
     model = documents.sparkSession.sparkContext.broadcast(train(documents))
-    return documents.mapInArrow(_mask(model), documents.schema)
+    return documents.mapInArrow(lean(_mask(model)), documents.schema)

@@ -34,6 +34,23 @@ def batch_of(schema: pa.Schema, *arrays) -> pa.RecordBatch:
                                       schema=schema)
 
 
+def lean(run):
+    """The function for ``mapInArrow`` that hands freed memory back to the system when its task ends.
+
+    Spark uses a Python worker for many tasks of many stages; without this it stays as large as the largest was.
+    """
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            import ctypes
+
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # a C library without it
+            pass
+    return wrapped
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows with equal ``keys`` from batches that are sorted by them (keys without nulls)."""
     held: list[pa.RecordBatch] = []

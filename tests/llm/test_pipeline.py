@@ -71,7 +71,7 @@ def test_everything_is_registered():
     registered = entry.queries()
     assert "pipeline" in registered
     assert [n for n in registered if n.startswith("op")] == list(queries.QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
