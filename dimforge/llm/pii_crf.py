@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import batch_of, lean, pick
+from dimforge.llm.shared import batch_of, map_batches, pick
 from dimforge.llm.shingles import text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)                 # the label of all else
 LABELS = OTHER + 1
 SAMPLE_DOCUMENTS = 3000            # learned from, the lowest hashes of doc_id among documents with a digit or @
-SAMPLE_TOKENS = 300                # of each of them
+SAMPLE_ROWS = 200_000              # different labelled tokens learned from, the lowest hashes if there are more
 ROUNDS = 12                        # of message passing
 SURE = 0.9                         # least marginal probability of an added token
 SIMILAR_DIGITS = 7                 # tokens with so many equal last digits are similar
@@ -140,11 +141,13 @@ def graph_of(text: str, spans: list[tuple[int, int, int]]):
 
 # --- learning ------------------------------------------------------------------------------------
 
+_LABELLED = "features array<string>, label int, before int, after int, same array<int>"
 _TRAIN = pa.schema([("features", pa.list_(pa.string())), ("label", pa.int32()), ("before", pa.int32()),
-                    ("after", pa.int32()), ("same", pa.list_(pa.int32()))])
+                    ("after", pa.int32()), ("same", pa.list_(pa.int32())), ("n", pa.int64())])
 
 
 def _training_rows(batches):
+    """The labelled tokens of whole texts; equal ones of a text are one row with their number."""
     for batch in batches:
         for text in batch.column(0).to_pylist():
             tokens, label, chain, skip = graph_of(text, pattern_spans(text))
@@ -154,49 +157,64 @@ def _training_rows(batches):
             for i, j in skip:
                 same.setdefault(i, []).append(label[j])
                 same.setdefault(j, []).append(label[i])
-            some = range(min(len(tokens), SAMPLE_TOKENS))
-            yield batch_of(_TRAIN, [features(text[tokens[i][0]:tokens[i][1]]) for i in some], [label[i] for i in some],
-                           [before.get(i, -1) for i in some], [after.get(i, -1) for i in some],
-                           [same.get(i, []) for i in some])
+            rows = Counter((tuple(features(text[a:b])), label[i], before.get(i, -1), after.get(i, -1),
+                            tuple(sorted(same.get(i, ())))) for i, (a, b, _) in enumerate(tokens))
+            if rows:
+                yield batch_of(_TRAIN, *zip(*rows, strict=True), list(rows.values()))
 
 
 def learn(rows: list, steps: int = 300, rate: float = 0.5, decay: float = 1e-3) -> dict | None:
-    """Weights by pseudo-likelihood: each label given its token and its neighbours' labels."""
+    """Weights by pseudo-likelihood: each label given its token and its neighbours' labels.
+
+    ``rows``: (features, label, label before, label after, labels of the same or
+    similar tokens, number of such tokens).  The features of all rows stand in one
+    array of indexes, so memory goes with their number, not with that of names.
+    """
     if not rows:
         return None
     names = {n: k for k, n in enumerate(sorted({n for r in rows for n in r[0]}))}
-    x = np.zeros((len(rows), len(names)), np.float32)
-    before, after, same = (np.zeros((len(rows), LABELS), np.float32) for _ in range(3))
+    index = np.array([names[n] for r in rows for n in r[0]], np.int64)
+    size = np.array([len(r[0]) for r in rows])
+    begin, owner = np.cumsum(size) - size, np.repeat(np.arange(len(rows)), size)
+    before, after, same = (np.zeros((len(rows), LABELS)) for _ in range(3))
     y = np.array([r[1] for r in rows])
-    for i, (f, _, b, a, s) in enumerate(rows):
-        x[i, [names[n] for n in f]] = 1
+    for i, (_, _, b, a, s, _) in enumerate(rows):
         if b >= 0:
             before[i, b] = 1
         if a >= 0:
             after[i, a] = 1
         for k in s:
             same[i, k] += 1
-    truth = np.eye(LABELS, dtype=np.float32)[y]
+    share = np.array([r[5] for r in rows], float)[:, None]
+    share *= LABELS / share.sum()
+    truth = np.eye(LABELS)[y]
     unary, chain, skip = np.zeros((len(names), LABELS)), np.zeros((LABELS, LABELS)), np.zeros(LABELS)
     for _ in range(steps):
-        z = x @ unary + before @ chain + after @ chain.T + same * skip
+        z = np.add.reduceat(unary[index], begin) + before @ chain + after @ chain.T + same * skip
         z = np.exp(z - z.max(axis=1, keepdims=True))
-        gap = (truth - z / z.sum(axis=1, keepdims=True)) / len(rows) * LABELS
-        unary += rate * (x.T @ gap - decay * unary)
+        gap = (truth - z / z.sum(axis=1, keepdims=True)) * share
+        pull = np.stack([np.bincount(index, gap[owner, k], len(names)) for k in range(LABELS)], axis=1)
+        unary += rate * (pull - decay * unary)
         chain += rate * (before.T @ gap + (after.T @ gap).T - decay * chain)
         skip += rate * ((same * gap).sum(axis=0) - decay * skip)
     return {"names": names, "unary": unary, "chain": chain, "skip": np.diag(np.maximum(skip, 0))}
 
 
 def train(documents: DataFrame) -> dict | None:
-    """Learn the field from at most SAMPLE_DOCUMENTS documents of ``documents(doc_id, text)``."""
+    """Learn the field from the whole texts of at most SAMPLE_DOCUMENTS documents of ``documents(doc_id, text)``.
+
+    Equal labelled tokens are counted before they reach the driver, which gets at
+    most SAMPLE_ROWS different ones.
+    """
     docs = pick(documents, doc_id="long", text="string").where(F.col("text").rlike("[0-9@]"))
     hashed = docs.withColumn("h", F.xxhash64("doc_id"))
     limit = hashed.select("h").orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
     if limit is None:
         return None
     sample = hashed.where(F.col("h") <= limit).limit(SAMPLE_DOCUMENTS).select("text")
-    rows = sample.mapInArrow(_training_rows, "features array<string>, label int, before int, after int, same array<int>")
+    labelled = ["features", "label", "before", "after", "same"]
+    rows = (map_batches(sample, _training_rows, f"{_LABELLED}, n long").groupBy(*labelled).agg(F.sum("n").alias("n"))
+            .orderBy(F.xxhash64(*labelled), *labelled).limit(SAMPLE_ROWS))
     return learn([tuple(r) for r in rows.collect()])
 
 
@@ -331,7 +349,7 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     model = documents.sparkSession.sparkContext.broadcast(train(documents))
     fields = ", ".join(["doc_id long", *(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string",
                         "n_added long"])
-    return pick(documents, doc_id="long", text="string").mapInArrow(lean(_search(model)), fields)
+    return map_batches(pick(documents, doc_id="long", text="string"), _search(model), fields)
 
 
 def _mask(model):
@@ -369,4 +387,4 @@ def mask_personal_data(documents: DataFrame) -> DataFrame:
     ``n_chars``, if there is such a column, follows.  Null text stays null.
     """
     model = documents.sparkSession.sparkContext.broadcast(train(documents))
-    return documents.mapInArrow(lean(_mask(model)), documents.schema)
+    return map_batches(documents, _mask(model), documents.schema)

@@ -51,6 +51,23 @@ def lean(run):
     return wrapped
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BYTES = 2 << 20
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with ``lean(run)``, some 2 MB of rows at a time, or one row if that is longer.
+
+    Spark bounds a batch by its rows alone, and 10,000 whole texts can be all of a
+    partition, held by the JVM and by Python.  The setting is read when the plan
+    runs, after this returns, so it is the session's; one that is there is kept.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) is None:
+        conf.set(BATCH_BYTES, str(MOST_BYTES))
+    return df.mapInArrow(lean(run), schema)
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows with equal ``keys`` from batches that are sorted by them (keys without nulls)."""
     held: list[pa.RecordBatch] = []

@@ -84,6 +84,48 @@ def test_the_field_is_learned_and_patterns_stay(spark):
         assert all(f"{p.KINDS[k]}:{a}:{b}" in listed for k, a, b in p.pattern_spans(texts[r["doc_id"]]))
 
 
+def dense(rows, steps=300, rate=0.5, decay=1e-3):
+    """The same likelihood with a column per feature and a row per token."""
+    rows = [r for r in rows for _ in range(r[5])]
+    names = sorted({n for r in rows for n in r[0]})
+    x = np.array([[n in r[0] for n in names] for r in rows], float)
+    one = np.eye(p.LABELS)
+    near = [np.array([one[r[k]] if r[k] >= 0 else 0 * one[0] for r in rows]) for k in (2, 3)]
+    same = np.array([sum((one[k] for k in r[4]), 0 * one[0]) for r in rows])
+    unary, chain, skip = np.zeros((len(names), p.LABELS)), np.zeros((p.LABELS, p.LABELS)), np.zeros(p.LABELS)
+    for _ in range(steps):
+        z = np.exp(x @ unary + near[0] @ chain + near[1] @ chain.T + same * skip)
+        gap = (one[[r[1] for r in rows]] - z / z.sum(axis=1, keepdims=True)) * p.LABELS / len(rows)
+        unary, chain, skip = (unary + rate * (x.T @ gap - decay * unary),
+                              chain + rate * (near[0].T @ gap + gap.T @ near[1] - decay * chain),
+                              skip + rate * ((same * gap).sum(axis=0) - decay * skip))
+    return {"names": {n: k for k, n in enumerate(names)}, "unary": unary, "chain": chain, "skip": np.diag(np.maximum(skip, 0))}
+
+
+def test_counted_rows_learn_what_each_token_alone_would():
+    rnd = random.Random(5)
+    rows = [(tuple(sorted(rnd.sample("abcdefgh", rnd.randint(1, 4)))), rnd.randrange(p.LABELS), rnd.randint(-1, p.OTHER),
+             rnd.randint(-1, p.OTHER), tuple(rnd.randrange(p.LABELS) for _ in range(rnd.randint(0, 2))), rnd.randint(1, 4))
+            for _ in range(40)]
+    got, want = p.learn(rows), dense(rows)
+    assert got["names"] == want["names"]
+    for part in ("unary", "chain", "skip"):
+        assert got[part] == pytest.approx(want[part], abs=1e-6)
+
+
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    text = "x1 " * 5000 + "call +49 30 1234567 now"
+    seen = []
+    monkeypatch.setattr(p, "learn", lambda rows: seen.extend(rows))
+    p.train(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"))
+    assert sum(r[5] for r in seen) == 2 * 5003 and sum(r[5] for r in seen if r[1] == 3) == 6
+    assert len(seen) < 10                         # equal tokens come as one row
+    seen.clear()
+    monkeypatch.setattr(p, "SAMPLE_ROWS", 2)
+    p.train(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert len(seen) == 2
+
+
 def test_masking():
     assert p.masked("a b@c.de, 10.0.0.1", p.pattern_spans("a b@c.de, 10.0.0.1")) == "a <EMAIL>, <IP>"
     assert p.masked("x", []) == "x"
