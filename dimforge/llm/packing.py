@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.llm.shared import batch_of, lean, pick, store
+from dimforge.llm.shared import batch_of, lean, map_batches, pick, store
 from dimforge.llm.shingles import byte_values, hash_runs, text_bytes, text_chunks, word_starts
 
 CAPACITY = 4096
@@ -167,8 +167,8 @@ def tokenized_pieces(documents: DataFrame, tokenizer_file: str, capacity: int =
     A document is its token ids and END_ID, cut only if it is longer than
     ``capacity``.  Null or empty text is END_ID alone.
     """
-    return pick(documents, doc_id="long", text="string").mapInArrow(
-        lean(_cut(tokenizer_file, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(pick(documents, doc_id="long", text="string"), _cut(tokenizer_file, capacity),
+                       "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # --- the plan ------------------------------------------------------------------------------------
