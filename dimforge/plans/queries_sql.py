@@ -380,6 +380,13 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 SELECT l_orderkey AS order_id, l_linenumber AS line_no, paid FROM boardings
 EXCEPT SELECT order_id, line_no, paid FROM revenue_fact""", "boardings", "revenue_fact"),
 
+    "digest_differences": sql("""
+, whole AS (SELECT l_orderkey AS order_id, l_linenumber AS line_no, paid FROM boardings),
+copied AS (SELECT order_id, line_no, (CASE WHEN order_id % 89 = 0 THEN paid + 1 ELSE paid END)::DECIMAL(18,2) AS paid
+           FROM whole WHERE order_id % 97 <> 0)
+SELECT *, 'left' AS side FROM (FROM whole EXCEPT FROM copied)
+UNION ALL SELECT *, 'right' AS side FROM (FROM copied EXCEPT FROM whole)""", "boardings"),
+
     "dq_one_population_per_place": sql("""
 SELECT place_name, region, count(*) AS n_addresses, count(DISTINCT population) AS n_populations
 FROM address_dim GROUP BY place_name, region""", "address_dim"),

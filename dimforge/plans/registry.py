@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dimforge.functions import keys as K
 from dimforge.operators import calendar as cal
-from dimforge.operators import cdc
+from dimforge.operators import cdc, digest
 from dimforge.operators import incremental as inc
 from dimforge.operators import quality as Q
 from dimforge.operators.dedup import last_state_per_key, latest_per_key
@@ -626,6 +626,19 @@ def reconcile_except(spark, sf_dir):
     return Q.missing_from(src, w.revenue_fact.select("order_id", "line_no", "paid"))
 
 
+@register("digest_differences")
+def digest_differences(spark, sf_dir):
+    """Q4/Q14/U4: boardings against a copy that lost, changed and repeated some rows, found by bucket checksums."""
+    rows = Warehouse(spark, sf_dir).boardings.select(F.col("l_orderkey").alias("order_id"),
+                                                     F.col("l_linenumber").alias("line_no"), "paid")
+    copy = (rows.where(F.col("order_id") % 97 != 0)
+            .withColumn("paid", F.when(F.col("order_id") % 89 == 0, F.col("paid") + 1).otherwise(F.col("paid"))
+                        .cast("decimal(18,2)"))
+            .withColumn("again", F.explode(F.sequence(F.lit(0), F.when(F.col("order_id") % 83 == 0, 1).otherwise(0))))
+            .drop("again"))
+    return digest.differences(rows, copy, ["order_id", "line_no"])
+
+
 @register("dq_one_population_per_place")
 def dq_one_population_per_place(spark, sf_dir):
     """Q13/A4: every address of a place carries the same population."""
