@@ -38,6 +38,11 @@ CLOSED_BY = {"p": BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"})
 HOLDS = {"li": frozenset({"ul", "ol", "menu", "dir"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"}),
          "tr": frozenset({"table"}), "td": frozenset({"table"}), "th": frozenset({"table"})}
 
+PARAGRAPHS = frozenset("p h1 h2 h3 blockquote pre".split())
+HEADINGS = frozenset("h1 h2 h3 h4".split())
+INNER = HEADINGS | frozenset("p li tr ul ol tbody dd dt".split())
+RUN = 80  # characters from which text directly in an element counts as a paragraph
+
 
 class Node:
     __slots__ = ("parent", "tag", "words", "hidden", "keep", "text", "linked", "children", "commas")
@@ -148,26 +153,38 @@ def features(nodes: list[Node]) -> list[list[str]]:
     text = [n.text for n in nodes]
     linked = [n.linked for n in nodes]
     commas = [n.commas for n in nodes]
+    paragraphs = [int(n.text >= RUN) for n in nodes]
     for k in range(len(nodes) - 1, 0, -1):
         p = nodes[k].parent
         text[p] += text[k]
         linked[p] += linked[k]
         commas[p] += commas[k]
+        if nodes[k].tag in PARAGRAPHS:
+            paragraphs[p] += 1
     out = []
     for k, n in enumerate(nodes):
         share = linked[k] / text[k] if text[k] else 0.0
-        row = ["bias", f"tag={n.tag}", f"links={0 if share < .05 else 1 if share < .3 else 2 if share < .7 else 3}",
-               f"size={min(5, text[k].bit_length() // 2)}", f"commas={min(3, commas[k].bit_length())}"]
-        row += [f"word={w}" for w in n.words]
+        links = 0 if share < .05 else 1 if share < .3 else 2 if share < .7 else 3
+        if n.tag in INNER:  # long texts have many of them: what all of them share may say nothing
+            row = [f"tag={n.tag}"] if n.tag in HEADINGS else []
+            if links:
+                row.append(f"links={links},inner")
+        else:
+            of_page = 4 * text[k] // text[0] if text[0] else 0
+            row = ["bias", f"tag={n.tag}", f"links={links}", f"links,size={links},{text[k] >= RUN}",
+                   f"size={min(5, text[k].bit_length() // 2)}", f"commas={min(3, commas[k].bit_length())}",
+                   f"of page={of_page}", f"paragraphs={min(3, paragraphs[k].bit_length())}"]
+        for w in n.words:
+            row += [f"word={w}", f"start={w[:5]}"]
         if n.hidden:
             row.append("hidden")
         out.append(row)
     return out
 
 
-def pair_name(child: Node) -> str:
+def pair_name(child: Node, parent: Node) -> str:
     """Which pair potential an element shares with its parent."""
-    return "inner" if child.tag in ("p", "li", "td", "tr", "ul", "ol", "h1", "h2", "h3", "h4", "tbody", "dd", "dt") else "block"
+    return "inner" if child.tag in INNER else "top" if parent.tag in ("page", "html", "body") else "block"
 
 
 def sum_product(parents: list[int], unary: np.ndarray, pairs: list[np.ndarray]):
@@ -211,40 +228,60 @@ def _gold(nodes: list[Node]) -> list[int]:
     return out
 
 
+def forest_marginals(parents: np.ndarray, levels: list[np.ndarray], unary: np.ndarray, pairs: np.ndarray):
+    """``sum_product`` of many trees at once, level by level; roots have themselves as parent."""
+    inside, up = unary.copy(), np.zeros_like(unary)
+    for level in reversed(levels[1:]):
+        m = np.logaddexp(pairs[level][:, :, 0] + inside[level][:, None, 0], pairs[level][:, :, 1] + inside[level][:, None, 1])
+        up[level] = m - m.max(axis=1, keepdims=True)
+        for y in (0, 1):
+            inside[:, y] += np.bincount(parents[level], weights=up[level][:, y], minlength=len(inside))
+    belief, joint = inside.copy(), np.zeros_like(pairs)
+    for level in levels[1:]:
+        rest = belief[parents[level]] - up[level]      # all the parent knows but from this element
+        joint[level] = rest[:, :, None] + pairs[level] + inside[level][:, None, :]
+        m = np.logaddexp(joint[level][:, 0], joint[level][:, 1])
+        belief[level] = m - m.max(axis=1, keepdims=True)
+    joint = np.exp(joint - joint.max(axis=(1, 2), keepdims=True))
+    return 1 / (1 + np.exp(np.minimum(700.0, belief[:, 0] - belief[:, 1]))), joint / joint.sum(axis=(1, 2), keepdims=True)
+
+
 @cache
-def learn(steps: int = 60, rate: float = 2.0, decay: float = 2e-4) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Weights of features and of pairs: gradient ascent on the likelihood of the labelled pages."""
-    trees = []
+def learn(steps: int = 250, rate: float = 0.5, decay: float = 1e-3) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Weights of features and of pairs: gradient ascent on the likelihood of the labelled pages, all as one forest."""
+    names: dict[str, int] = {}
+    kinds = ("inner", "block", "top")
+    parents, depths, gold, kind, at_node, at_feature = [], [], [], [], [], []
     for html in pages():
         nodes, _ = parse(html)
-        trees.append((nodes, features(nodes), _gold(nodes)))
-    total = sum(len(t[0]) for t in trees)
-    weights = {f: np.zeros(2) for _, rows, _ in trees for row in rows for f in row}
-    pairs = {x: np.zeros((2, 2)) for x in ("inner", "block")}
-    seen = dict.fromkeys(weights, 0)
-    for _, rows, _ in trees:
-        for row in rows:
-            for f in row:
-                seen[f] += 1
+        first = len(parents)
+        for k, (n, row) in enumerate(zip(nodes, features(nodes))):
+            parents.append(first + max(0, n.parent))
+            depths.append(depths[first + n.parent] + 1 if k else 0)
+            kind.append(kinds.index(pair_name(n, nodes[n.parent])) if k else 0)
+            at_node += [first + k] * len(row)
+            at_feature += [names.setdefault(f, len(names)) for f in row]
+        gold += _gold(nodes)
+    parents, depths, gold, kind = (np.array(x) for x in (parents, depths, gold, kind))
+    levels = [np.flatnonzero(depths == d) for d in range(depths.max() + 1)]
+    below = np.flatnonzero(depths > 0)
+    wanted = np.zeros((len(kinds), 2, 2))
+    np.add.at(wanted, (kind[below], gold[parents[below]], gold[below]), 1)
+    weights, pairs = np.zeros(len(names)), np.zeros((len(kinds), 2, 2))
+    moved, pairs_moved = np.full(len(names), 1e-6), np.full(pairs.shape, 1e-6)
     for _ in range(steps):
-        gain = {f: np.zeros(2) for f in weights}
-        pair_gain = {x: np.zeros((2, 2)) for x in pairs}
-        for nodes, rows, gold in trees:
-            p, joint = sum_product([n.parent for n in nodes], np.array([sum(weights[f] for f in row) for row in rows]),
-                                   [pairs[pair_name(n)].tolist() for n in nodes])
-            for k, row in enumerate(rows):
-                gap = gold[k] - p[k]
-                for f in row:
-                    gain[f] += (-gap, gap)
-                if k:
-                    z = np.exp(np.array(joint[k]) - max(joint[k]))
-                    pair_gain[pair_name(nodes[k])] -= (z / z.sum()).reshape(2, 2)
-                    pair_gain[pair_name(nodes[k])][gold[nodes[k].parent], gold[k]] += 1
-        for f in weights:  # steps as long as a feature is rare allow its weight to follow
-            weights[f] = weights[f] * (1 - decay) + rate * gain[f] / (seen[f] + 20)
-        for x in pairs:
-            pairs[x] = pairs[x] * (1 - decay) + rate * pair_gain[x] / total * 2
-    return weights, pairs
+        score = np.bincount(at_node, weights=weights[at_feature], minlength=len(parents))
+        p, joint = forest_marginals(parents, levels, np.stack((-score, score), axis=1), pairs[kind])
+        expected = np.zeros_like(pairs)
+        np.add.at(expected, kind[below], joint[below])
+        gain = np.bincount(at_feature, weights=(gold - p)[at_node])
+        moved += gain ** 2  # steps as long as a feature has moved little allow the weights of rare ones to follow
+        weights = weights * (1 - decay) + rate * gain / np.sqrt(moved)
+        pair_gain = wanted - expected
+        pair_gain[0] = (pair_gain[0] + pair_gain[0, ::-1, ::-1]) / 2  # an inner element without features leaves its parent as it is
+        pairs_moved += pair_gain ** 2
+        pairs = pairs * (1 - decay) + rate * pair_gain / np.sqrt(pairs_moved)
+    return ({f: np.array((-weights[i], weights[i])) for f, i in names.items()}, {x: pairs[i] for i, x in enumerate(kinds)})
 
 
 def main_text(html: str, model) -> str:
@@ -258,7 +295,7 @@ def main_text(html: str, model) -> str:
             w = weights.get(f)
             if w is not None:
                 unary[k] += w
-    p, _ = sum_product([n.parent for n in nodes], unary, [pairs[pair_name(n)] for n in nodes])
+    p, _ = sum_product([n.parent for n in nodes], unary, [pairs[pair_name(n, nodes[n.parent])] for n in nodes])
     return " ".join(text for k, text in blocks if p[k] > 0.5)
 
 

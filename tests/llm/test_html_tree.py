@@ -1,7 +1,8 @@
-import time
 import itertools
 import math
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -32,12 +33,94 @@ def test_marginals_are_exact():
         assert h.sum_product(parents, unary, pairs)[0] == pytest.approx([x / total for x in on])
 
 
+def test_a_forest_has_the_marginals_of_its_trees():
+    rnd = np.random.default_rng(5)
+    parents, depths, want, want_joint, unary, pairs = [], [], [], [], [], []
+    for _ in range(12):
+        n, first = int(rnd.integers(1, 9)), len(parents)
+        up = [-1] + [int(rnd.integers(k)) for k in range(1, n)]
+        u, w = rnd.normal(size=(n, 2)), rnd.normal(size=(n, 2, 2))
+        p, joint = h.sum_product(up, u, w.tolist())
+        want += p
+        for k in range(n):
+            parents.append(first + max(0, up[k]))
+            depths.append(depths[first + up[k]] + 1 if k else 0)
+            z = np.exp(np.array(joint[k])) if k else None
+            want_joint.append((z / z.sum()).reshape(2, 2) if k else None)
+        unary.append(u)
+        pairs.append(w)
+    depths = np.array(depths)
+    levels = [np.flatnonzero(depths == d) for d in range(depths.max() + 1)]
+    got, got_joint = h.forest_marginals(np.array(parents), levels, np.concatenate(unary), np.concatenate(pairs))
+    assert got == pytest.approx(want)
+    for k in np.flatnonzero(depths):
+        assert got_joint[k] == pytest.approx(want_joint[k])
+
+
+def word_f1(wanted: str, got: str) -> float:
+    a, b = Counter(wanted.split()), Counter(got.split())
+    both = sum((a & b).values())
+    return 2 * both / (a.total() + b.total()) if both else float(not a and not b)
+
+
 def test_labelled_pages_are_learned():
+    scores = []
     for page in h.pages():
         nodes, blocks = h.parse(page)
         gold = h._gold(nodes)
         want = " ".join(t for k, t in blocks if gold[k])
-        assert text_of(page.replace(' keep="0"', "").replace(' keep="1"', "")) == want
+        scores.append(word_f1(want, text_of(page.replace(' keep="0"', "").replace(' keep="1"', ""))))
+    assert np.mean(scores) > 0.98
+
+
+@pytest.mark.parametrize("start, end", [("<div>", "</div>"), ('<div class="story-body">', "</div>"), ('<div id="text">', "</div>"),
+                                        ("<section>", "</section>"), ('<div class="x1"><div class="x2">', "</div></div>"),
+                                        ("<table><tr><td>", "</td></tr></table>")])
+def test_an_article_needs_no_article_element(start, end):
+    page = f"""<html><body><nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>
+    {start}<h1>Plan for the bridge</h1><p>{STORY}</p><p>{STORY}</p><p>{STORY}</p><p>So it is.</p>{end}
+    <footer>&copy; Example Media</footer></body></html>"""
+    s = STORY.strip()
+    assert text_of(page) == f"Plan for the bridge {s} {s} {s} So it is."
+
+
+def held_out_pages():
+    """Layouts, names and texts that are not among the labelled ones; none has an article element. (page, its text)"""
+    rnd = random.Random(11)
+    words = "river stone market paper window garden letter engine summer winter bread light north train voice".split()
+
+    def sentence():
+        chosen = [rnd.choice(words) for _ in range(rnd.randint(4, 22))]
+        return (" ".join(chosen[:3]) + ("," if len(chosen) > 9 else "") + " " + " ".join(chosen[3:])).capitalize() + "."
+
+    def talk(most):
+        return " ".join(sentence() for _ in range(rnd.randint(1, most)))
+
+    def links(n):
+        return "".join(f"<li><a href='/{i}'>{rnd.choice(words)}</a></li>" for i in range(n))
+
+    wraps = ["<div class='prose'>%s</div>", "<section id='c12'>%s</section>", "<div><div class='inner'>%s</div></div>",
+             "<div class='read-area'><section>%s</section></div>", "<div id='maincol'>%s</div>", "<main><div>%s</div></main>"]
+    before = ["<div class='topnav'><ul>%s</ul></div>" % links(7), "<nav>%s</nav>" % links(5),
+              "<header><h2>Daily</h2><p>News of the day.</p></header>", "<ul class='navbar'>%s</ul>" % links(9)]
+    after = ["<div class='adverts'><p>%s</p></div>", "<div id='comments-area'><div class='comment'><p>%s</p></div></div>",
+             "<aside><p>%s</p></aside>", "<div class='footer-wide'><p>%s</p></div>", "<section class='related'><p>%s</p></section>",
+             "<div class='cookies-bar'>%s</div>", "<form><label>Name</label><p>%s</p></form>"]
+    for i in range(60):
+        texts = [sentence()] + [talk(6) for _ in range(rnd.randint(3, 25))]
+        story = f"<h1>{texts[0]}</h1>" + "".join(f"<p>{t}</p>" for t in texts[1:])
+        body = rnd.choice(before) + wraps[i % len(wraps)] % story + "".join(x % talk(4) for x in rnd.sample(after, 3))
+        yield f"<html><body>{body}<footer>&copy; {i}</footer></body></html>", " ".join(texts)
+
+
+def test_layouts_never_seen():
+    scores = [word_f1(want, text_of(page)) for page, want in held_out_pages()]
+    assert np.mean(scores) > 0.95 and np.mean(np.array(scores) > 0.8) > 0.9
+
+
+def test_hidden_blocks_are_left_out():
+    page = f"<html><body><div><h1>T</h1><p>{STORY}</p><p>{STORY}</p></div><div hidden><p>{STORY}</p></div></body></html>"
+    assert text_of(page) == f"T {STORY.strip()} {STORY.strip()}"
 
 
 def test_article_among_noise():
