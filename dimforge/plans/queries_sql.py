@@ -548,3 +548,6 @@ O.frag("known_members", ("member_init",), "SELECT * FROM member_init WHERE membe
 _newcomers = O._history_body("member_changes", "CAST(change_ts AS DATE)")
 SQL["scd2_newcomers"] = sql(_newcomers.replace("FROM member_init\n", "FROM known_members\n", 1),
                             "member_init", "known_members", "member_changes")
+
+# the merge is another way to the rows of the join
+SQL["validity_merge"] = SQL["validity_join"]

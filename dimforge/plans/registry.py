@@ -17,7 +17,7 @@ from dimforge.operators import cdc, digest
 from dimforge.operators import incremental as inc
 from dimforge.operators import quality as Q
 from dimforge.operators.dedup import last_state_per_key, latest_per_key
-from dimforge.operators.joins import validity_join
+from dimforge.operators.joins import validity_join, validity_merge
 from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_external, scd2_apply,
                                     scd2_close, scd2_history, scd2_initial, split_late_changes)
 from dimforge.plans import feed_queries
@@ -273,6 +273,18 @@ def validity_join_q(spark, sf_dir):
                     F.col("v_balance").alias("balance_then"))
 
 
+@register("validity_merge")
+def validity_merge_q(spark, sf_dir):
+    """J2 for long histories: the rows of ``validity_join`` from one sorted stream of purchases and versions."""
+    w = Warehouse(spark, sf_dir)
+    p = w.t.events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    m = w.member_dim.select("member_id", "version", "segment", "balance", "valid_from", "valid_to")
+    j = validity_merge(p, m, "user_id", F.col("ts").cast("date"), "member_id")
+    return j.select("event_id", F.col("user_id").alias("member_id"), F.col("ts").cast("date").alias("paid_on"),
+                    F.col("v_version").alias("member_version"), F.col("v_segment").alias("segment_then"),
+                    F.col("v_balance").alias("balance_then"))
+
+
 @register("payment_version_listing")
 def payment_version_listing(spark, sf_dir):
     """Q10: every member payment with the version (and balance) it hit."""
