@@ -551,3 +551,8 @@ SQL["scd2_newcomers"] = sql(_newcomers.replace("FROM member_init\n", "FROM known
 
 # the merge is another way to the rows of the join
 SQL["validity_merge"] = SQL["validity_join"]
+
+SQL["bronze_by_content"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+       CASE WHEN s_nationkey < 13 THEN 'a' ELSE 'other' END AS _source_file
+FROM supplier WHERE s_nationkey IS NOT NULL"""

@@ -23,8 +23,8 @@ from dimforge.operators.scd import (Scd2Spec, scd1_overwrite, scd1_refresh_exter
 from dimforge.plans import feed_queries
 from dimforge.plans import oracle as O
 from dimforge.plans import standins as S
-from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, run_lake, silver_and_rejects,
-                                 staged_bronze, suggestion_penetration)
+from dimforge.plans.lake import (SILVER_SCHEMA, build_address_dim, curated_lake, land, run_lake, silver_and_rejects,
+                                 source_folder, staged_bronze, suggestion_penetration)
 from dimforge.plans.queries_sql import SQL
 from dimforge.plans.warehouse import Warehouse
 from dimforge.session import work_dir
@@ -82,6 +82,20 @@ def bronze_append_once(spark, sf_dir):
     return run_lake(spark, w.t).bronze
 
 
+@register("bronze_by_content")
+def bronze_by_content(spark, sf_dir):
+    """S3 by content: suppliers land in two files, the first of them twice under other names; three loads."""
+    t = Warehouse(spark, sf_dir).t
+    at = work_dir(spark, "by-content")
+    rows = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    for name, part in (("a", rows.filter("s_nationkey < 13")), ("copy", rows.filter("s_nationkey < 13")),
+                       ("other", rows.filter("s_nationkey >= 13"))):
+        land(part, f"{at}/landing/{name}")
+        raw = ingest.read_raw_csv(spark, f"{at}/landing/*", rows.columns)
+        ingest.append_new_contents(spark, raw.select("*", source_folder().alias("_source_file")), f"{at}/bronze", f"{at}/manifest")
+    return spark.read.parquet(f"{at}/bronze").select(*rows.columns, "_source_file")
+
+
 @register("lake_silver")
 def lake_silver(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
@@ -683,7 +697,6 @@ def dq_has_child(spark, sf_dir):
 def bronze_stream(spark, sf_dir):
     """S3 streaming twin: a checkpointed file stream (availableNow) appends
     only newly landed folders; v1 landed twice is ingested once."""
-    from dimforge.plans.lake import land
     from dimforge.streaming.bronze import ingest_landing_once
     w = Warehouse(spark, sf_dir)
     root = work_dir(spark, "bronze-stream")
