@@ -85,7 +85,7 @@ def test_an_article_needs_no_article_element(start, end):
 
 
 def held_out_pages():
-    """Layouts, names and texts that are not among the labelled ones; none has an article element. (page, its text)"""
+    """Holders of articles and texts that are not among the labelled ones (noise shares words); no article element. (page, its text)"""
     rnd = random.Random(11)
     words = "river stone market paper window garden letter engine summer winter bread light north train voice".split()
 
