@@ -198,12 +198,8 @@ def _posterior(bits: np.ndarray, temperature: float) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def train(labelled: DataFrame):
-    """``labelled(doc_id, text, lang)`` -> (languages, models, temperature, limits), from a bounded sample.
-
-    The sample is SAMPLE_DOCUMENTS whole texts of every language, those of lowest
-    hash of doc_id; every fifth calibrates and isn't counted, but the first always is.
-    """
+def sampled(labelled: DataFrame) -> DataFrame | None:
+    """``(lang, text, fold)`` of SAMPLE_DOCUMENTS whole texts of every language, those of lowest hash of doc_id."""
     rows = pick(labelled, doc_id="long", text="string", lang="string").where("lang is not null and text is not null")
     keyed = rows.withColumn("h", F.xxhash64("doc_id"))
     by_slice = Window.partitionBy("lang", "slice").orderBy("h")
@@ -212,11 +208,21 @@ def train(labelled: DataFrame):
     limit = (lowest.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
              .where(F.col("r") <= SAMPLE_DOCUMENTS).groupBy("lang").agg(F.max("h").alias("most"), F.min("h").alias("least")).collect())  # a row per language
     if not limit:
-        return [], [], 1.0, np.zeros(0)
-    # local rows of known size, so that no text is moved but the sample's
+        return None
+    # a row per language, broadcast whatever the session's threshold, so that no text is moved but the sample's
     most = labelled.sparkSession.createDataFrame([(r["lang"], r["most"], r["least"]) for r in limit], "lang string, most long, least long")
-    sample = (keyed.join(most, "lang").where(F.col("h") <= F.col("most"))
-              .select("lang", "text", F.when(F.col("h") == F.col("least"), 1).otherwise(F.pmod("h", F.lit(5))).alias("fold")))
+    return (keyed.join(F.broadcast(most), "lang").where(F.col("h") <= F.col("most"))
+            .select("lang", "text", F.when(F.col("h") == F.col("least"), 1).otherwise(F.pmod("h", F.lit(5))).alias("fold")))
+
+
+def train(labelled: DataFrame):
+    """``labelled(doc_id, text, lang)`` -> (languages, models, temperature, limits), from a bounded sample.
+
+    Every fifth of the ``sampled`` texts calibrates and isn't counted, but the first always is.
+    """
+    sample = sampled(labelled)
+    if sample is None:
+        return [], [], 1.0, np.zeros(0)
     counted = (sample.where("fold <> 0").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     names = np.array(counted["lang"].to_pylist(), dtype=object)

@@ -102,3 +102,14 @@ def test_many_languages_are_all_learned(spark):
     rows = [(k * 20 + i, "".join(rnd.choice(alphabet[k * 5:k * 5 + 5]) for _ in range(40)), f"l{k}") for k in range(520) for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert len(g.train(df)[0]) == 520
+
+
+def test_no_text_is_moved_to_find_the_sample(spark):
+    rows = spark.createDataFrame([(i, "wort " * 50, "de" if i % 2 else "en") for i in range(40)], "doc_id long, text string, lang string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sample = g.sampled(rows)
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and sample.count() == 40
