@@ -136,3 +136,16 @@ def test_compare_counts_multiset_differences(spark):
     empty = spark.createDataFrame([], "k int, v string")
     assert {r.name: r.n_rows for r in compare("e", empty, empty).collect()} == {"e.rows": 0, "e.extra": 0,
                                                                                  "e.missing": 0}
+
+
+def test_equal_tables_are_compared_without_moving_their_rows(spark):
+    from dimforge.plans.load import compare
+    rows = spark.createDataFrame([(i, None if i % 3 else "x", i % 5) for i in range(500)] * 2, "k long, s string, v int")
+    same = compare("t", rows, rows.repartition(3))
+    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+    assert {r.name: r.n_rows for r in same.collect()} == {"t.rows": 1000, "t.extra": 0, "t.missing": 0}
+    # a null that changes its column, and a row once more
+    other = rows.where("k <> 7").unionByName(spark.createDataFrame([(7, None, 2), (7, None, 2), (9, None, 4)], "k long, s string, v int"))
+    moved = spark.createDataFrame([(1, None, 2)], "k long, s string, v int"), spark.createDataFrame([(None, "x", 2)], "k long, s string, v int")
+    assert {r.name: r.n_rows for r in compare("t", rows, other).collect()} == {"t.rows": 1000, "t.extra": 0, "t.missing": 1}
+    assert {r.name: r.n_rows for r in compare("t", *moved).collect()} == {"t.rows": 1, "t.extra": 1, "t.missing": 1}
