@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimforge import publish as P
+from dimforge.plans.warehouse import Warehouse
 from dimforge.sources.tables import Tables
 from dimforge.streaming import change_feed as C
 from dimforge.streaming import warehouse_stream as WS
@@ -155,3 +156,28 @@ def test_parts_come_and_go(spark, tmp_path):
     assert table(spark, root, "f") == []
     assert P.remove_uncommitted(spark, root, ["f"], keep_versions=1) > 0
     assert table(spark, root, "f") == []
+
+
+def test_the_reason_of_a_line_is_worked_out_once(spark, feed):
+    plan = C.parse(lines(spark, FIRST), feed.sources)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("not a feed line") == 1
+
+
+def test_rows_behind_the_marks_are_counted_and_not_written(spark, tmp_path, feed):
+    routed = C.route(lines(spark, [*FIRST, "broken"]), feed.sources, str(tmp_path / "r"), {"orders": 30, "lineitem": 40})
+    assert routed.counts == {"n_read": len(FIRST) + 1, "n_loadable": len(FIRST), "n_rejected": 1}
+    assert routed.of("orders").count() == 10 and routed.of("lineitem").count() == 0 and routed.of("customer").count() == 5
+    assert routed.rejects().count() == 1 and not list((tmp_path / "r").glob("of_source=lineitem/*"))
+    root = str(tmp_path / "t")
+    for _ in range(2):
+        WS.apply_lines(spark, lines(spark, FIRST), root, feed)
+    assert len({p.parts[-3] for p in (tmp_path / "t" / "_routed").glob("*/of_source=*/*.parquet")}) == 1
+
+
+def test_revenue_on_a_written_trip_fact_equals_that_from_the_sources(spark, tmp_path, feed):
+    more = [line("lineitem", "I", 50, boarding(3, 1)), line("lineitem", "I", 51, boarding(4, 2, supp=None)),
+            line("lineitem", "I", 52, boarding(99, 1)), line("orders", "I", 50, order(5, 2)), line("orders", "I", 51, order(6, None))]
+    routed = C.route(lines(spark, [*FIRST, *more]), feed.sources, str(tmp_path / "r"))
+    w = Warehouse.over(Tables.of(spark, {**feed.reference, **{n: routed.of(n) for n in feed.sources}}))
+    got = sorted(map(tuple, w.revenue_fact_on(w.boardings, w.trip_fact).collect()), key=str)
+    assert got == sorted(map(tuple, w.revenue_fact.collect()), key=str) and len(got) == 42  # orders 3 and 5 twice
