@@ -181,3 +181,18 @@ def test_revenue_on_a_written_trip_fact_equals_that_from_the_sources(spark, tmp_
     w = Warehouse.over(Tables.of(spark, {**feed.reference, **{n: routed.of(n) for n in feed.sources}}))
     got = sorted(map(tuple, w.revenue_fact_on(w.boardings, w.trip_fact).collect()), key=str)
     assert got == sorted(map(tuple, w.revenue_fact.collect()), key=str) and len(got) == 42  # orders 3 and 5 twice
+
+
+def test_a_batch_leaves_no_scratch_and_old_versions_can_go(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    for k, rows in enumerate(([*FIRST], [line("orders", "I", 300, order(81, 2)), line("events", "I", 90, event(90, 2, "2024-02-01"))])):
+        WS.apply_lines(spark, lines(spark, rows), root, feed, str(k))
+        assert not [p for n in ("affected_members", "fresh_members", "affected_trips", "fresh_trips", "fresh_revenue")
+                    for p in (tmp_path / "t" / n).glob("**/*.parquet")]
+    names = P.tables(spark, root)
+    before = {n: sorted(map(str, P.read_current(spark, root, n).collect())) for n in names}
+    assert {"trip_fact", "revenue_fact", "member_dim", "marks"} <= set(names) and len(before["trip_fact"]) > 1
+    assert WS.remove_old(spark, root) > 0
+    assert {n: sorted(map(str, P.read_current(spark, root, n).collect())) for n in names} == before
+    assert not list((tmp_path / "t" / WS.ROUTED).glob("*")) and len(list((tmp_path / "t" / "marks").glob("*"))) == 1
+    assert WS.apply_lines(spark, lines(spark, FIRST), root, feed)["n_consumed"] == 0
